@@ -12,7 +12,7 @@ from gridpulse.functions.columns import (
     total_activity,
     with_activity_columns,
 )
-from gridpulse.functions.text import java_trim, normalize_token, normalize_word, separator_pattern, tokens
+from gridpulse.functions.text import java_trim, normalize_token, normalize_word, separator_pattern
 
 __all__ = [
     "activity_date",
@@ -27,7 +27,6 @@ __all__ = [
     "normalize_word",
     "prepare_activity",
     "separator_pattern",
-    "tokens",
     "total_activity",
     "with_activity_columns",
 ]

@@ -14,21 +14,34 @@ from pyspark.sql import functions as F
 
 # Characters at or below U+0020 at either end of a token.
 _EDGE_CONTROLS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_CONTROLS = "".join(chr(i) for i in range(0x21))
+
+# Characters with a meaning in a regex outside a character class.
+_REGEX_SPECIAL = set(".$|()[]{}^?*+\\")
 
 # Characters with a meaning inside a regex character class.
 _CLASS_SPECIAL = set("\\]^-[&")
 
 
 def separator_pattern(separators: str) -> str:
-    """Regex character class matching any one of ``separators``."""
+    """Regex matching any one of ``separators``.
+
+    One separator gives a one- or two-character pattern, which Java splits
+    without running the regex engine; several give a character class.
+    """
     if not separators:
         raise ValueError("at least one separator is required")
+    chars = list(dict.fromkeys(separators))
+    if len(chars) == 1:
+        ch = chars[0]
+        return "\\" + ch if ch in _REGEX_SPECIAL else ch
     body = "".join("\\" + ch if ch in _CLASS_SPECIAL else ch for ch in dict.fromkeys(separators))
     return "[" + body + "]"
 
 
 def java_trim(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_CONTROLS, "")
+    """Strip characters up to U+0020 from both ends (no regex)."""
+    return F.trim(c, F.lit(_CONTROLS))
 
 
 def normalize_token(c: Column) -> Column:
@@ -40,7 +53,3 @@ def normalize_word(word: str) -> str:
     """Driver-side twin of :func:`normalize_token` for stop-word lists."""
     return re.sub(_EDGE_CONTROLS, "", word).lower()
 
-
-def tokens(text: Column, separators: str) -> Column:
-    """Array of normalized tokens; empty tokens are kept (filter them later)."""
-    return F.transform(F.split(text, separator_pattern(separators)), normalize_token)

@@ -18,7 +18,7 @@ from gridpulse.operators.aggregates import (
 )
 from gridpulse.operators.categories import equal_width_categories, quantile_categories
 from gridpulse.operators.lookup import null_key_counts, point_lookup
-from gridpulse.operators.partitioning import dated_records, partition_by_date, range_partition_by_date
+from gridpulse.operators.partitioning import dated_records, hash_partition_by_date, partition_by_date
 from gridpulse.operators.peaks import peak_rows, with_rank
 from gridpulse.operators.words import format_counts, word_count
 
@@ -35,6 +35,7 @@ __all__ = [
     "grid_hourly_totals",
     "grid_window_average",
     "grid_window_totals",
+    "hash_partition_by_date",
     "hourly_totals",
     "max_total",
     "mean",
@@ -43,7 +44,6 @@ __all__ = [
     "peak_rows",
     "point_lookup",
     "quantile_categories",
-    "range_partition_by_date",
     "sum_by",
     "with_rank",
     "word_count",

@@ -1,11 +1,14 @@
 """Date-oriented layout of activity records.
 
 Hash-partitioning raw rows by date alone puts each date in one task, so the
-largest date sets the job's length. ``partition_by_date`` therefore spreads
-every date over ``spread`` hash sub-partitions of a per-record key (grid and
-epoch) while keeping each sub-partition to a single date. For a persistent
-layout prefer ``write_by_date`` (directory partitioning; later date filters
-prune whole directories).
+largest date sets the job's length (a date may hold a third of all rows).
+``partition_by_date`` therefore range-partitions on (date, time, grid,
+country): Spark samples the keys and cuts ``n`` ranges of about equal size,
+so a busy date is split over as many tasks as its size needs while every
+task still holds one contiguous stretch of time. ``hash_partition_by_date``
+is the plain hash layout (optionally spread over sub-partitions). For a
+persistent layout use ``sinks.write_by_date`` (directory partitioning; later
+date filters prune whole directories).
 """
 
 from __future__ import annotations
@@ -27,23 +30,29 @@ def partition_by_date(
     df: DataFrame,
     num_partitions: int | None = None,
     ts: str = S.ACTIVITY_DATE_TIME,
-    spread: int = 16,
 ) -> DataFrame:
-    """Hash-partition by the date of ``ts`` (and a spread key within a date).
-
-    ``spread=1`` is a plain partitioning by date. The sub-key is a hash of
-    the grid id and the timestamp, so a re-run sends each row to the same
-    partition.
-    """
-    day = activity_date(ts)
-    keys = [day]
+    """Size-balanced partitions, each a contiguous time range (so mostly one
+    date). ``num_partitions=None`` uses the session's shuffle partitions,
+    which adaptive execution may coalesce."""
+    keys = [activity_date(ts), F.col(ts)]
+    keys += [F.col(c) for c in (S.GRID_ID, S.COUNTRY_CODE) if c in df.columns]
+    if num_partitions is None:
+        return df.repartitionByRange(*keys)
+    return df.repartitionByRange(num_partitions, *keys)
+
+
+def hash_partition_by_date(
+    df: DataFrame,
+    num_partitions: int | None = None,
+    ts: str = S.ACTIVITY_DATE_TIME,
+    spread: int = 1,
+) -> DataFrame:
+    """Hash-partition by the date of ``ts``; ``spread > 1`` adds a sub-key
+    (hash of grid and time modulo ``spread``) so one date fills up to
+    ``spread`` partitions. A re-run sends each row to the same partition."""
+    keys = [activity_date(ts)]
     if spread > 1:
         keys.append(F.pmod(F.xxhash64(S.GRID_ID, ts), F.lit(spread)))
     if num_partitions is None:
         return df.repartition(*keys)
     return df.repartition(num_partitions, *keys)
-
-
-def range_partition_by_date(df: DataFrame, num_partitions: int, ts: str = S.ACTIVITY_DATE_TIME) -> DataFrame:
-    """Range-partition by timestamp: contiguous, size-balanced time ranges."""
-    return df.repartitionByRange(num_partitions, ts)

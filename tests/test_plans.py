@@ -64,3 +64,16 @@ def test_no_python_udf_in_any_registered_query(spark):
         plan = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_category_bounds_reuse_the_country_aggregate(spark):
+    df = R.QUERIES["country_categories"](spark, SF_SMALL)
+    df.collect()
+    plan = _plan(df)  # final adaptive plan after execution
+    assert "ReusedExchange" in plan and "ReusedSubquery" in plan
+
+
+def test_date_layout_is_range_partitioned(spark):
+    df = R.QUERIES["activity_by_date"](spark, SF_SMALL)
+    plan = _plan(df)
+    assert "rangepartitioning(" in plan
