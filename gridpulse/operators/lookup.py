@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -12,13 +13,15 @@ from pyspark.sql import functions as F
 from gridpulse import schema as S
 
 
-def point_lookup(df: DataFrame, **equals: Any) -> DataFrame:
+def point_lookup(df: DataFrame, not_null: Sequence[str] = (), **equals: Any) -> DataFrame:
     """Rows where every named column equals the given value (exact comparison;
-    doubles compare bit for bit). Filters on stored columns reach the scan."""
-    if not equals:
-        raise ValueError("point_lookup needs at least one column=value pair")
-    cond = reduce(and_, [F.col(name) == F.lit(value) for name, value in equals.items()])
-    return df.where(cond)
+    doubles compare bit for bit) and every ``not_null`` column is set.
+    Filters on stored columns reach the scan."""
+    if not equals and not not_null:
+        raise ValueError("point_lookup needs at least one condition")
+    conds = [F.col(name) == F.lit(value) for name, value in equals.items()]
+    conds += [F.col(name).isNotNull() for name in not_null]
+    return df.where(reduce(and_, conds))
 
 
 def null_key_counts(df: DataFrame, keys: tuple[str, ...] = S.KEYS) -> DataFrame:

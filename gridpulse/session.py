@@ -11,7 +11,10 @@ The caller owns the session. Two settings matter for results or robustness:
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -47,6 +50,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Cache ``df`` (spilling to disk) while several queries read it, then
+    release it. Lost blocks are recomputed from the lineage."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def local_session(app_name: str = "gridpulse", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and benchmarks: UTC, AQE on, UI off."""
     return (
