@@ -76,10 +76,13 @@ def with_activity_columns(
 
     The epoch column is dropped unless ``drop_epoch`` is false.
     """
-    out = (
-        df.withColumn(S.ACTIVITY_DATE_TIME, epoch_ms_to_timestamp(epoch_col))
-        .withColumn(S.TOTAL_ACTIVITY, total_activity())
-        .withColumn(S.ACTIVITY_DATE, activity_date(S.ACTIVITY_DATE_TIME))
+    ts = epoch_ms_to_timestamp(epoch_col)
+    out = df.withColumns(
+        {
+            S.ACTIVITY_DATE_TIME: ts,
+            S.TOTAL_ACTIVITY: total_activity(),
+            S.ACTIVITY_DATE: activity_date(ts),
+        }
     )
     return out.drop(epoch_col) if drop_epoch else out
 

@@ -70,12 +70,13 @@ def quantile_categories(
         raise ValueError("need at least two buckets")
     probs = [i / buckets for i in range(1, buckets)]
     accuracy = max(1, int(round(1.0 / relative_error)))
-    split_row = df.agg(
-        *[F.percentile_approx(F.col(src).cast("double"), probs, accuracy).alias(src) for src in columns]
-    )
+    # One subquery: a struct holding every column's split array.
+    all_splits = df.agg(
+        F.struct(*[F.percentile_approx(F.col(src).cast("double"), probs, accuracy).alias(src) for src in columns])
+    ).scalar()
     out = df
     for src, dst in columns.items():
-        splits = split_row.select(src).scalar()
+        splits = all_splits[src]
         x = F.col(src).cast("double")
         # Splits come back in ascending order: count those <= x, each repeated
         # split once.

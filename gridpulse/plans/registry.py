@@ -16,7 +16,6 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse import schema as S
@@ -42,9 +41,9 @@ RANKING_DAY = _dt.date(2024, 1, 15)
 
 def doubles(df: DataFrame) -> DataFrame:
     """Cast every decimal column to double (exact sums are kept until here)."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, T.DecimalType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
@@ -83,8 +82,12 @@ def _activity(
     return run
 
 
+# Schema of the test table (read without inferring it from the file footer).
+DOCUMENTS_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
 
 
 def word_count_default(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ set to UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse import schema as S
@@ -38,41 +38,43 @@ CELL_BUCKET_MS = 6 * 3600 * 1000
 MEASURE_TYPE = "decimal(18,2)"
 
 
-def _event_epoch_ms() -> Column:
-    return F.unix_millis(F.col("ts").cast("timestamp"))
+# Schema of the test table (read without inferring it from the file footer).
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
+# Epoch milliseconds of the zone-less event time, read as UTC wall-clock time.
+_EPOCH_MS = "unix_millis(CAST(ts AS TIMESTAMP))"
 
-def _measure_value(event_type: str) -> Column:
-    return F.when(F.col("event_type") == event_type, F.col("value").cast(MEASURE_TYPE))
 
-
-def _measure_columns() -> dict[str, Column]:
-    by_measure = {m: t for t, m in EVENT_TYPE_TO_MEASURE.items()}
-    return {m: _measure_value(by_measure[m]) for m in S.MEASURES}
+def _measure_exprs(value: str = "value") -> dict[str, str]:
+    """measure -> SQL: the event's value when its type maps to that measure."""
+    return {
+        m: f"CASE WHEN event_type = '{t}' THEN CAST({value} AS {MEASURE_TYPE}) END"
+        for t, m in EVENT_TYPE_TO_MEASURE.items()
+    }
 
 
 def events_as_activity(events: DataFrame) -> DataFrame:
     """``long`` adapter: one activity record per event."""
-    measures = _measure_columns()
-    return events.select(
-        F.col("user_id").cast("int").alias(S.GRID_ID),
-        _event_epoch_ms().alias(S.INTERVAL_START),
-        (F.col("user_id") % LONG_COUNTRIES).cast("int").alias(S.COUNTRY_CODE),
-        *[measures[m].alias(m) for m in S.MEASURES],
+    measures = _measure_exprs()
+    return events.selectExpr(
+        f"CAST(user_id AS INT) AS {S.GRID_ID}",
+        f"{_EPOCH_MS} AS {S.INTERVAL_START}",
+        f"CAST(user_id % {LONG_COUNTRIES} AS INT) AS {S.COUNTRY_CODE}",
+        *[f"{measures[m]} AS {m}" for m in S.MEASURES],
     )
 
 
 def events_as_cells(events: DataFrame) -> DataFrame:
     """``cells`` adapter: per-type sums per (user_id % 5, 6-hour bucket)."""
-    measures = _measure_columns()
-    grid = (F.col("user_id") % CELL_GRIDS).cast("int")
-    bucket = F.floor(_event_epoch_ms() / CELL_BUCKET_MS) * CELL_BUCKET_MS
+    measures = _measure_exprs()
+    grid = f"CAST(user_id % {CELL_GRIDS} AS INT)"
+    bucket = f"floor({_EPOCH_MS} / {CELL_BUCKET_MS}) * {CELL_BUCKET_MS}"
     return (
-        events.groupBy(grid.alias(S.GRID_ID), bucket.alias(S.INTERVAL_START))
-        .agg(*[F.sum(measures[m]).cast(MEASURE_TYPE).alias(m) for m in S.MEASURES])
-        .select(S.GRID_ID, S.INTERVAL_START, F.col(S.GRID_ID).alias(S.COUNTRY_CODE), *S.MEASURES)
+        events.groupBy(F.expr(grid).alias(S.GRID_ID), F.expr(bucket).alias(S.INTERVAL_START))
+        .agg(*[F.expr(f"CAST(sum({measures[m]}) AS {MEASURE_TYPE})").alias(m) for m in S.MEASURES])
+        .selectExpr(S.GRID_ID, S.INTERVAL_START, f"{S.GRID_ID} AS {S.COUNTRY_CODE}", *S.MEASURES)
     )
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
