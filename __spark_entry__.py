@@ -293,9 +293,9 @@ SELECT CAST(max(totalActivity) AS DOUBLE) AS maxTotalActivity FROM act"""
 def _q_null_key_counts() -> str:
     return f"""WITH {_long_raw()}
 SELECT count(*) AS records,
-  count_if(gridId IS NULL) AS null_gridId,
-  count_if(intervalStart IS NULL) AS null_intervalStart,
-  count_if(countryCode IS NULL) AS null_countryCode
+  CAST(count_if(gridId IS NULL) AS BIGINT) AS null_gridId,
+  CAST(count_if(intervalStart IS NULL) AS BIGINT) AS null_intervalStart,
+  CAST(count_if(countryCode IS NULL) AS BIGINT) AS null_countryCode
 FROM raw"""
 
 

@@ -3,7 +3,8 @@
 Each entry is ``(spark, sf_dir) -> DataFrame``. Activity queries read the whole
 ``events`` table through one of the two adapters of ``gridpulse.sources.events``
 (``long`` or ``cells``), prepare it under the named null policy, run the
-query and cast decimal results to double. The word counts read the whole
+query and cast the result for comparison (decimals to double, timestamps
+to zone-less UTC wall-clock time). The word counts read the whole
 ``documents`` table.
 
 The adapters interpret ``events.ts`` as UTC, so every entry pins the session
@@ -39,14 +40,19 @@ RANKING_GRID = 2
 RANKING_DAY = _dt.date(2024, 1, 15)
 
 
-def doubles(df: DataFrame) -> DataFrame:
-    """Cast every decimal column to double (exact sums are kept until here)."""
-    return df.selectExpr(
-        *[
-            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, T.DecimalType) else f"`{f.name}`"
-            for f in df.schema.fields
-        ]
-    )
+def comparable(df: DataFrame) -> DataFrame:
+    """Final casts for comparison with a zone-less SQL engine: decimal columns
+    (exact sums) to double, timestamps to their UTC wall-clock time without a
+    zone (``timestamp_ntz``), matching the zone-less input ``events.ts``."""
+
+    def cast(f: T.StructField) -> str:
+        if isinstance(f.dataType, T.DecimalType):
+            return f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`"
+        if isinstance(f.dataType, T.TimestampType):
+            return f"CAST(`{f.name}` AS TIMESTAMP_NTZ) AS `{f.name}`"
+        return f"`{f.name}`"
+
+    return df.selectExpr(*[cast(f) for f in df.schema.fields])
 
 
 def _utc(spark: SparkSession) -> None:
@@ -76,7 +82,7 @@ def _activity(
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepared = prepare_activity(read(spark, sf_dir), null_policy, drop_epoch=drop_epoch)
-        return doubles(query(prepared))
+        return comparable(query(prepared))
 
     run.__doc__ = f"{query.__name__} on the {adapter} adapter, null policy {null_policy}"
     return run
@@ -100,17 +106,17 @@ def word_count_test_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_long(spark, sf_dir)
-    return doubles(partition_by_date(dated_records(raw, epoch_col=S.INTERVAL_START)))
+    return comparable(partition_by_date(dated_records(raw, epoch_col=S.INTERVAL_START)))
 
 
 def point_lookup_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepare_activity(raw_cells(spark, sf_dir), S.PROPAGATE, drop_epoch=False)
-    return doubles(point_lookup(prepared, **{S.GRID_ID: LOOKUP_GRID, S.TOTAL_ACTIVITY: LOOKUP_TOTAL}))
+    return comparable(point_lookup(prepared, **{S.GRID_ID: LOOKUP_GRID, S.TOTAL_ACTIVITY: LOOKUP_TOTAL}))
 
 
 def grid_day_hour_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepare_activity(raw_cells(spark, sf_dir), S.PROPAGATE)
-    return doubles(Q.grid_day_hour_ranking(prepared, RANKING_GRID, RANKING_DAY))
+    return comparable(Q.grid_day_hour_ranking(prepared, RANKING_GRID, RANKING_DAY))
 
 
 def null_keys_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +124,7 @@ def null_keys_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interval_bounds_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.interval_bounds(raw_long(spark, sf_dir))
+    return comparable(Q.interval_bounds(raw_long(spark, sf_dir)))
 
 
 QUERIES: dict[str, QueryFn] = {

@@ -68,6 +68,14 @@ def rows_of_duckdb(con, sql):
     return [names[i] for i in order], [tuple(_norm(r[i]) for i in order) for r in cur.fetchall()]
 
 
+def arrow_types(spark_df, con, sql) -> tuple[list, list]:
+    """(name, Arrow type) pairs of both results, sorted by name."""
+    s = spark_df.limit(1).toArrow().schema
+    d = con.sql(sql).limit(1).arrow()
+    d = d.schema if hasattr(d, "schema") else d.read_all().schema
+    return sorted((f.name, str(f.type)) for f in s), sorted((f.name, str(f.type)) for f in d)
+
+
 def compare(spark, con, name: str, sf_dir: str) -> dict:
     import __spark_entry__ as E
 
@@ -79,16 +87,20 @@ def compare(spark, con, name: str, sf_dir: str) -> dict:
         return {"name": name, "rows": len(s_rows), "oracle": None, "spark_s": round(t1 - t0, 2)}
     d_cols, d_rows = rows_of_duckdb(con, sql)
     same_vals = Counter(s_rows) == Counter(d_rows)
+    s_types, d_types = arrow_types(E.queries()[name](spark, sf_dir), con, sql)
     out = {
         "name": name,
         "rows": len(s_rows),
         "oracle_rows": len(d_rows),
         "columns_match": s_cols == d_cols,
+        "types_match": s_types == d_types,
         "values_match": same_vals,
         "spark_s": round(t1 - t0, 2),
     }
     if s_cols != d_cols:
         out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+    if s_types != d_types:
+        out["type_diff"] = [(a, b) for a, b in zip(s_types, d_types) if a != b]
     if not same_vals:
         only_s = list((Counter(s_rows) - Counter(d_rows)).elements())[:3]
         only_d = list((Counter(d_rows) - Counter(s_rows)).elements())[:3]
@@ -119,7 +131,12 @@ def main(argv: list[str]) -> int:
             r = compare(spark, con, n, sf_dir)
         except Exception as e:  # report and continue
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
-        ok = r.get("values_match") and r.get("columns_match") and r.get("rows") == r.get("oracle_rows")
+        ok = (
+            r.get("values_match")
+            and r.get("columns_match")
+            and r.get("types_match")
+            and r.get("rows") == r.get("oracle_rows")
+        )
         bad += 0 if ok or r.get("oracle", 1) is None else 1
         print(("OK  " if ok else "FAIL") + " " + str(r), flush=True)
     spark.stop()
