@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PEAK_RANK = "__peak_rank"
+_PEAK_MAX = "__peak_max"
+STRATEGIES = ("window", "join")
 
 
 def peak_rows(
@@ -28,20 +30,45 @@ def peak_rows(
     partition_by: Sequence[str],
     order_by: str,
     drop_null_peaks: bool = False,
+    strategy: str = "window",
 ) -> DataFrame:
     """Rows with the largest ``order_by`` within each ``partition_by`` group.
 
     Ties are all kept. ``drop_null_peaks`` drops groups without a non-null
     value (and null rows) instead of keeping them.
+
+    ``strategy="window"`` (default) ranks within each group; the partial
+    group limit keeps the shuffle to each task's local top rows.
+    ``strategy="join"`` is for groups whose top value is shared by a great
+    many rows: it takes each group's maximum with a partial aggregate and
+    joins the rows back to it. Adaptive execution broadcasts the maxima when
+    they are small and otherwise splits a skewed key over several tasks, so
+    a huge set of tied rows is not finished by one task. It ships every row
+    when the maxima are too large to broadcast.
     """
     if not partition_by:
         raise ValueError("peak_rows needs at least one partition column")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if drop_null_peaks:
         df = df.where(F.col(order_by).isNotNull())
+    if strategy == "join":
+        return _peak_rows_by_join(df, list(partition_by), order_by)
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
     return df.withColumn(_PEAK_RANK, F.rank().over(w)).where(F.col(_PEAK_RANK) == 1).drop(_PEAK_RANK)
 
 
+def _peak_rows_by_join(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
+    """Rows equal to their group's maximum; a group with no value keeps its
+    null rows (as ``rank() = 1`` does). Keys match null-safely."""
+    maxes = df.groupBy(*keys).agg(F.max(order_by).alias(_PEAK_MAX))
+    rows, top = df.alias("rows"), maxes.alias("top")
+    cond = [F.col(f"rows.{k}").eqNullSafe(F.col(f"top.{k}")) for k in keys]
+    value, mx = F.col(f"rows.{order_by}"), F.col(f"top.{_PEAK_MAX}")
+    keep = (value == mx) | (mx.isNull() & value.isNull())
+    return rows.join(top, cond, "inner").where(keep).select("rows.*")
+
+
 def with_rank(
     df: DataFrame,
     partition_by: Sequence[str],

@@ -44,18 +44,21 @@ def daily_peak_hour_by_max(prepared: DataFrame) -> DataFrame:
     return peak_rows(hourly, ["date"], "hourlyTotalActivity", drop_null_peaks=True)
 
 
-def grid_hour_peak_records(prepared: DataFrame, all_columns: bool = False) -> DataFrame:
+def grid_hour_peak_records(prepared: DataFrame, all_columns: bool = False, strategy: str = "window") -> DataFrame:
     """Record(s) with the largest total within each (grid, date, hour).
 
     No summing: these are single records. Default columns are
     ``gridId, activityDate, hour, totalActivity``; ``all_columns`` keeps every
     input column and appends ``hour``. Null totals never qualify.
+    ``strategy="join"`` suits data where a hot group has a huge number of
+    records tied at its top (see :func:`peak_rows`).
     """
     if all_columns:
         rows = prepared.withColumn(S.HOUR, hour_of_day())
     else:
         rows = prepared.select(S.GRID_ID, S.ACTIVITY_DATE, hour_of_day().alias(S.HOUR), S.TOTAL_ACTIVITY)
-    return peak_rows(rows, [S.GRID_ID, S.ACTIVITY_DATE, S.HOUR], S.TOTAL_ACTIVITY, drop_null_peaks=True)
+    keys = [S.GRID_ID, S.ACTIVITY_DATE, S.HOUR]
+    return peak_rows(rows, keys, S.TOTAL_ACTIVITY, drop_null_peaks=True, strategy=strategy)
 
 
 def grid_daily_peak_hour(prepared: DataFrame) -> DataFrame:

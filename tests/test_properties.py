@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from gridpulse import schema as S
 from gridpulse.functions.columns import prepare_activity
 from gridpulse.operators.categories import equal_width_categories
+from gridpulse.operators.peaks import peak_rows
 from gridpulse.operators.words import word_count
 from gridpulse.plans import queries as Q
 
@@ -136,3 +137,14 @@ def test_word_count(spark, lines):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = {r.word: r["count"] for r in word_count(df, seps, stops).collect()}
     assert got == dict(want)
+
+
+@SETTINGS
+@given(records, st.sampled_from(S.NULL_POLICIES), st.booleans())
+def test_peak_strategies_agree(spark, rows, policy, drop_null_peaks):
+    df = prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA), policy)
+    keys = [S.GRID_ID, S.ACTIVITY_DATE]
+    by_window = peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks)
+    by_join = peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks, strategy="join")
+    assert by_join.columns == by_window.columns
+    assert sorted(map(tuple, by_join.collect()), key=repr) == sorted(map(tuple, by_window.collect()), key=repr)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import prepare_activity
+from gridpulse.operators.peaks import peak_rows
 from gridpulse.operators.words import word_count
 from gridpulse.plans import queries as Q
 
@@ -89,3 +90,22 @@ def test_frequent_word_is_combined_before_the_shuffle(spark):
     assert _shuffled_records(counts) <= 6 * TASKS  # six distinct words per task
     assert {r.word: r["count"] for r in counts.collect()}["cat"] == 50 * 400
     lines.unpersist()
+
+
+def test_tied_hot_group_is_split_by_the_join_strategy(spark):
+    """Every row of a hot group ties at the top: the join strategy's output is
+    produced by many tasks (skew split or broadcast), not one."""
+    n = ROWS // 3
+    rows = [(1, epoch_ms(2013, 11, 1, 10, i % 60), 39, 5.0, None, None, None, None) for i in range(n)]
+    rows += [(2 + i % 50, epoch_ms(2013, 11, 1, i % 24), 39, float(i % 7), None, None, None, None) for i in range(n)]
+    df = prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA).repartition(TASKS)).cache()
+    df.count()
+    keys = [S.GRID_ID, S.ACTIVITY_DATE]
+    out = peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks=True, strategy="join")
+    per_task = out.where(f"{S.GRID_ID} = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == n
+    assert len(per_task) > 1
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        map(tuple, peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks=True).collect()), key=repr
+    )
+    df.unpersist()
