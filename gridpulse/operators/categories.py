@@ -74,7 +74,7 @@ def quantile_categories(
     all_splits = df.agg(
         F.struct(*[F.percentile_approx(F.col(src).cast("double"), probs, accuracy).alias(src) for src in columns])
     ).scalar()
-    out = df
+    buckets_of = {}
     for src, dst in columns.items():
         splits = all_splits[src]
         x = F.col(src).cast("double")
@@ -85,5 +85,5 @@ def quantile_categories(
             s_i = splits[i]
             new = s_i <= x if i == 0 else (s_i <= x) & (s_i != splits[i - 1])
             below = below + F.when(new, 1).otherwise(0)
-        out = out.withColumn(dst, F.when(x.isNull(), F.lit(None)).otherwise(below.cast("double")))
-    return out
+        buckets_of[dst] = F.when(x.isNull(), F.lit(None)).otherwise(below.cast("double"))
+    return df.withColumns(buckets_of)
