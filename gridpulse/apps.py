@@ -6,7 +6,8 @@ are parsed once and written as a date-partitioned Parquet table in a shared
 folder (the session's ``spark.checkpoint.dir`` when set, else under the
 output folder). That table cuts the lineage: a lost executor re-reads it
 instead of re-parsing the sources. Each question then reads only the columns
-it needs from the table and writes JSON lines to ``<out_dir>/<name>``.
+it needs from the table and writes JSON lines to ``<out_dir>/<name>``. The
+staged table is left in place for further questions; remove it when done.
 
 Command line::
 
