@@ -9,7 +9,6 @@ from conftest import epoch_ms
 from gridpulse import schema as S
 from gridpulse.apps import REPORT_QUERIES, activity_report, word_count_job
 from gridpulse.functions.columns import prepare_activity
-from gridpulse.plans import queries as Q
 from gridpulse.sources import read_activity
 
 
@@ -38,7 +37,6 @@ def test_report_matches_direct_queries(spark, scratch):
     peak = _json_rows(out / "daily_peak_hour")
     assert sorted((r[S.ACTIVITY_DATE], r[S.HOUR]) for r in peak) == [("2013-11-01", 17), ("2013-11-02", 17)]
     assert len(_json_rows(out / "cat_country")) == 3
-    assert Q.daily_peak_hour  # report uses the library functions
 
 
 def test_word_count_job(spark, scratch):
@@ -46,3 +44,22 @@ def test_word_count_job(spark, scratch):
     out = word_count_job(spark, str(scratch / "t.txt"), str(scratch / "wc"))
     got = sorted(x for p in (scratch / "wc").glob("part-*") for x in p.read_text().splitlines())
     assert out.endswith("wc") and got == ["(cat,2)", "(dog,1)"]
+
+
+def test_command_line_word_count(scratch):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    (scratch / "t.txt").write_text("b#a b\nthe A\n")
+    out = scratch / "wc"
+    subprocess.run(
+        [sys.executable, "-m", "gridpulse.apps", "wordcount", str(scratch / "t.txt"), str(out), "--separators", " #"],
+        cwd=ROOT,
+        check=True,
+        capture_output=True,
+        timeout=300,
+    )
+    got = sorted(x for p in out.glob("part-*") for x in p.read_text().splitlines())
+    assert got == ["(a,2)", "(b,2)"]
