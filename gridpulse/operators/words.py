@@ -33,9 +33,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Hash-spread rows over the default parallelism when the scan has fewer
     partitions than that. The hash is on a per-row id, so copies of one line
     do not pile up in one task, and a re-run produces the same layout."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except NotImplementedError:  # sessions without RDD access (Spark Connect)
+        return df
+    if current >= target:
         return df
     return df.repartition(target, F.monotonically_increasing_id())
 

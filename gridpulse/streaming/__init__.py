@@ -6,6 +6,8 @@ frame works unchanged. Ranking windows (``rank()``) are not available on
 streams; what streams is the windowed sum per grid cell, with a watermark
 that bounds the state kept for late records. Feed its finalized windows to
 the batch peak/rank functions (e.g. in ``foreachBatch``) or write them out.
+Start the query with a ``checkpointLocation`` in shared storage, so that a
+restarted query resumes from its offsets and state.
 """
 
 from __future__ import annotations
