@@ -63,10 +63,18 @@ def apply_null_policy(df: DataFrame, null_policy: str = S.ZERO) -> DataFrame:
     S.check_null_policy(null_policy)
     if null_policy == S.PROPAGATE:
         return df
-    keys = [k for k in (S.GRID_ID, S.INTERVAL_START, S.COUNTRY_CODE) if k in df.columns]
+    keys = [k for k in (S.GRID_ID, S.INTERVAL_START, S.ACTIVITY_START_EPOCH, S.COUNTRY_CODE) if k in df.columns]
     return fill_measures(df).dropna(subset=keys)
 
 
+def epoch_column(df: DataFrame) -> str:
+    """Name of the epoch column: ``intervalStart`` or ``activityStartEpoch``."""
+    for name in (S.INTERVAL_START, S.ACTIVITY_START_EPOCH):
+        if name in df.columns:
+            return name
+    raise ValueError(f"no epoch column ({S.INTERVAL_START} or {S.ACTIVITY_START_EPOCH}) in {df.columns}")
+
+
 def with_activity_columns(
     df: DataFrame,
     epoch_col: str = S.INTERVAL_START,
@@ -91,10 +99,13 @@ def prepare_activity(
     df: DataFrame,
     null_policy: str = S.ZERO,
     drop_epoch: bool = True,
+    epoch_col: str | None = None,
 ) -> DataFrame:
     """Raw records -> dated records with a total, under ``null_policy``.
 
-    This is the shared first step of every activity query. It is lazy; persist
-    or checkpoint it yourself when several queries read it.
+    This is the shared first step of every activity query. The epoch column
+    is found by name unless given. It is lazy; persist or checkpoint it
+    yourself when several queries read it.
     """
-    return with_activity_columns(apply_null_policy(df, null_policy), drop_epoch=drop_epoch)
+    epoch = epoch_col or epoch_column(df)
+    return with_activity_columns(apply_null_policy(df, null_policy), epoch_col=epoch, drop_epoch=drop_epoch)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import activity_date
+from gridpulse.operators.partitioning import partition_by_date
 from gridpulse.operators.words import format_counts
 
 MAX_SINGLE_FILE_ROWS = 5_000_000
@@ -53,11 +54,20 @@ def write_by_date(
     ts: str = S.ACTIVITY_DATE_TIME,
     mode: str = "overwrite",
     date_col: str = S.ACTIVITY_DATE,
+    cluster: bool = False,
 ) -> None:
     """Parquet partitioned into one directory per date; later filters on the
-    date prune whole directories. Rows are not shuffled first: each task writes
-    the dates it holds."""
+    date prune whole directories.
+
+    By default rows are not shuffled: each task writes the dates it holds,
+    which suits input already laid out by time (one file per day). For input
+    in no time order, ``cluster=True`` first range-partitions by time
+    (``partition_by_date``), so each task writes one contiguous stretch and
+    a date gets a few large files instead of one small file per task.
+    """
     out = df if date_col in df.columns else df.withColumn(date_col, activity_date(ts))
+    if cluster:
+        out = partition_by_date(out, ts=ts)
     out.write.mode(mode).partitionBy(date_col).parquet(path)
 
 

@@ -101,3 +101,37 @@ def test_write_by_date_round_trip(spark, scratch, activity):
     back = spark.read.parquet(out).where(f"{S.ACTIVITY_DATE} = date'2013-11-02'")
     assert [r[S.GRID_ID] for r in back.collect()] == [2]
     assert back.collect()[0][S.ACTIVITY_DATE] == dt.date(2013, 11, 2)
+
+
+def test_epoch_named_source_prepares_the_same(spark, scratch):
+    ms = epoch_ms(2013, 11, 1, 7, 30)
+    p = _tsv(scratch / "e.txt", [f"5\t{ms}\t39\t1\t2\t3\t4\t5", f"bad\t{ms}\t39\t1\t1\t1\t1\t1"])
+    a = prepare_activity(read_activity(spark, p)).collect()
+    b = prepare_activity(read_activity_epoch(spark, p)).collect()
+    assert a == b and len(a) == 1 and a[0][S.TOTAL_ACTIVITY] == 15.0
+
+
+def test_parquet_source_round_trip(spark, scratch, activity):
+    from conftest import rec
+
+    from gridpulse.sources import read_activity_parquet
+
+    raw = activity([rec(1, epoch_ms(2013, 11, 1), internet=2.0), rec(2, epoch_ms(2013, 11, 2), internet=3.0)])
+    raw.write.parquet(str(scratch / "raw"))
+    back = read_activity_parquet(spark, str(scratch / "raw"))
+    assert sorted(back.collect()) == sorted(raw.collect())
+    assert read_activity_parquet(spark, [str(scratch / "raw")]).count() == 2
+
+
+def test_write_by_date_cluster_limits_files(spark, scratch, activity):
+    from conftest import rec
+
+    rows = [rec(g, epoch_ms(2013, 11, 1 + i % 3, i % 24), internet=1.0) for i, g in enumerate(range(300))]
+    raw = activity(rows).repartition(12)  # every task holds every date
+    plain, clustered = scratch / "plain", scratch / "clustered"
+    write_by_date(prepare_activity(raw), str(plain))
+    write_by_date(prepare_activity(raw), str(clustered), cluster=True)
+    count = lambda root: len(list(root.glob("activityDate=*/part-*.parquet")))
+    assert count(plain) == 36  # 12 tasks x 3 dates
+    assert count(clustered) < count(plain)
+    assert spark.read.parquet(str(clustered)).count() == 300
