@@ -20,6 +20,7 @@ from __future__ import annotations
 import argparse
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,16 +67,36 @@ def activity_report(
     delimiter: str = "\t",
     staging_dir: str | None = None,
     questions: Mapping[str, Callable[[DataFrame], DataFrame]] = REPORT_QUERIES,
+    parallel: int = 1,
 ) -> dict[str, str]:
-    """Write each question's answer as JSON lines; return ``name -> path``."""
+    """Write each question's answer as JSON lines; return ``name -> path``.
+
+    ``parallel > 1`` submits that many questions at once from worker threads,
+    each in its own scheduler pool (named after the question; pools share the
+    cluster under ``spark.scheduler.mode=FAIR``), so small final stages of
+    one question overlap with the work of another.
+    """
     out = out_dir.rstrip("/")
     if staging_dir is None and not checkpoint_dir(spark):
         staging_dir = f"{out}/_staged"
     table = stage_prepared(spark, source, null_policy, delimiter, staging_dir)
-    paths = {}
-    for name, question in questions.items():
-        paths[name] = f"{out}/{name}"
-        write_json(question(table), paths[name])
+    paths = {name: f"{out}/{name}" for name in questions}
+
+    def answer(name: str) -> None:
+        sc = spark.sparkContext
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            write_json(questions[name](table), paths[name])
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    if parallel <= 1:
+        for name in questions:
+            answer(name)
+    else:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for done in [pool.submit(answer, name) for name in questions]:
+                done.result()
     return paths
 
 
@@ -101,6 +122,7 @@ def main(argv: list[str] | None = None) -> None:
     rep.add_argument("--null-policy", default=S.ZERO, choices=S.NULL_POLICIES)
     rep.add_argument("--delimiter", default="\t")
     rep.add_argument("--staging-dir")
+    rep.add_argument("--parallel", type=int, default=1, help="questions answered at once")
     wc = sub.add_parser("wordcount", help="word count -> (word,count) lines")
     wc.add_argument("input")
     wc.add_argument("output")
@@ -111,7 +133,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"gridpulse-{args.job}").getOrCreate()
     try:
         if args.job == "report":
-            activity_report(spark, args.input, args.out_dir, args.null_policy, args.delimiter, args.staging_dir)
+            activity_report(
+                spark, args.input, args.out_dir, args.null_policy, args.delimiter, args.staging_dir, parallel=args.parallel
+            )
         else:
             stops = args.stop_words if args.stop_words is not None else DEFAULT_STOP_WORDS
             word_count_job(spark, args.input, args.output, args.separators, stops)

@@ -27,6 +27,8 @@ def test_report_matches_direct_queries(spark, scratch):
     (src / "a.txt").write_text("\n".join(lines) + "\n")
     out = scratch / "out"
     paths = activity_report(spark, str(src), str(out), staging_dir=str(scratch / "staged"))
+    together = scratch / "together"
+    activity_report(spark, str(src), str(together), staging_dir=str(scratch / "staged2"), parallel=3)
     assert set(paths) == set(REPORT_QUERIES)
     direct = prepare_activity(read_activity(spark, str(src)))
     for name, fn in REPORT_QUERIES.items():
@@ -34,6 +36,7 @@ def test_report_matches_direct_queries(spark, scratch):
         want = [json.loads(x) for x in fn(direct).toJSON().collect()]
         key = lambda r: json.dumps(r, sort_keys=True)
         assert sorted(got, key=key) == sorted(want, key=key), name
+        assert sorted(_json_rows(together / name), key=key) == sorted(want, key=key), name
     peak = _json_rows(out / "daily_peak_hour")
     assert sorted((r[S.ACTIVITY_DATE], r[S.HOUR]) for r in peak) == [("2013-11-01", 17), ("2013-11-02", 17)]
     assert len(_json_rows(out / "cat_country")) == 3
