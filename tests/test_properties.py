@@ -148,3 +148,42 @@ def test_peak_strategies_agree(spark, rows, policy, drop_null_peaks):
     by_join = peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks, strategy="join")
     assert by_join.columns == by_window.columns
     assert sorted(map(tuple, by_join.collect()), key=repr) == sorted(map(tuple, by_window.collect()), key=repr)
+
+
+@SETTINGS
+@given(records, st.sampled_from(S.NULL_POLICIES))
+def test_average_per_grid_day(spark, rows, policy):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[(r[0], _when(r[1])[0])].append(_total(r, policy))
+    want = set()
+    for key, vals in groups.items():
+        present = [v for v in vals if v is not None]
+        want.add((*key, sum(present) / len(present) if present else None))
+    df = spark.createDataFrame(rows, S.ACTIVITY_SCHEMA)
+    got = {tuple(r) for r in Q.average_per_grid_day(prepare_activity(df, policy)).collect()}
+    assert got == want
+
+
+@SETTINGS
+@given(records, st.sampled_from(S.NULL_POLICIES))
+def test_grid_daily_peak_hour_and_window(spark, rows, policy):
+    hourly = defaultdict(list)
+    for r in rows:
+        day, hour = _when(r[1])
+        hourly[(r[0], day, hour)].append(_total(r, policy))
+    by_grid_day = defaultdict(dict)
+    for (grid, day, hour), vals in hourly.items():
+        by_grid_day[(grid, day)][hour] = _sum(vals)
+    want_hours = {(g, d, h, v) for (g, d), h, v in _peaks(by_grid_day)}
+    df = prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA), policy)
+    got_hours = {tuple(r) for r in Q.grid_daily_peak_hour(df).collect()}
+    assert got_hours == want_hours
+    # the window form drops groups without a value and reports window bounds
+    want_windows = {
+        (g, dt.datetime.combine(d, dt.time(h)), dt.datetime.combine(d, dt.time(h)) + dt.timedelta(hours=1), v)
+        for g, d, h, v in want_hours
+        if v is not None
+    }
+    got_windows = {tuple(r) for r in Q.grid_daily_peak_window(df).collect()}
+    assert got_windows == want_windows
