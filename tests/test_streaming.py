@@ -43,3 +43,31 @@ def test_stream_matches_batch(spark, scratch):
     # day 2 moves the watermark past every day-1 window, so all of day 1 is final
     assert got == [w for w in want if w[1] < dt.datetime(2013, 11, 2)]
     assert len(got) == 12
+
+
+def test_records_later_than_the_watermark_are_dropped(spark, scratch):
+    src = scratch / "in"
+    src.mkdir()
+    stream = grid_window_totals_stream(
+        read_activity_stream(spark, str(src), max_files_per_trigger=1), watermark="1 hour"
+    )
+    q = (
+        stream.writeStream.outputMode("append")
+        .format("memory")
+        .queryName("late_windows")
+        .option("checkpointLocation", str(scratch / "ckpt"))
+        .start()
+    )
+    try:
+        (src / "a.txt").write_text(f"1\t{epoch_ms(2013, 11, 1, 10, 5)}\t39\t1\t1\t1\t1\t1\n")
+        q.processAllAvailable()
+        # moves the watermark to 14:00, closing the 10:00 window
+        (src / "b.txt").write_text(f"1\t{epoch_ms(2013, 11, 1, 15, 0)}\t39\t1\t1\t1\t1\t1\n")
+        q.processAllAvailable()
+        # too late for the closed 10:00 window: dropped, not added to it
+        (src / "c.txt").write_text(f"1\t{epoch_ms(2013, 11, 1, 10, 30)}\t39\t1\t1\t1\t1\t100\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = [(r.start, r[S.SUMMED_ACTIVITY]) for r in spark.sql("select * from late_windows").collect()]
+    assert got == [(dt.datetime(2013, 11, 1, 10), 5.0)]
