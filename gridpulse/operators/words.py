@@ -29,10 +29,16 @@ DEFAULT_STOP_WORDS = ("the",)
 _INSET_LIMIT = 50_000
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
+def spread_if_narrow(df: DataFrame, key: str | None = None) -> DataFrame:
     """Hash-spread rows over the default parallelism when the scan has fewer
-    partitions than that. The hash is on a per-row id, so copies of one line
-    do not pile up in one task, and a re-run produces the same layout."""
+    partitions than that.
+
+    The hash is on a unique row key, so copies of one text do not pile up in
+    one task: ``key`` (a unique id column, which keeps the layout
+    deterministic on a re-run) or else a generated per-row id (which Spark
+    treats as nondeterministic and re-runs whole stages for after a lost
+    shuffle file).
+    """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
@@ -40,7 +46,7 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
         return df
     if current >= target:
         return df
-    return df.repartition(target, F.monotonically_increasing_id())
+    return df.repartition(target, F.col(key) if key else F.monotonically_increasing_id())
 
 
 def word_count(
@@ -49,12 +55,17 @@ def word_count(
     stop_words: Iterable[str] = DEFAULT_STOP_WORDS,
     text_col: str = "value",
     spread: bool = True,
+    spread_key: str | None = None,
 ) -> DataFrame:
-    """``word string, count bigint`` over every line of ``text_col``."""
+    """``word string, count bigint`` over every line of ``text_col``.
+
+    ``spread_key`` names a unique id column to spread a narrow scan by.
+    """
     stops = sorted({normalize_word(w) for w in stop_words})
-    text = lines.select(F.col(text_col).alias("text"))
+    keep = [text_col] + ([spread_key] if spread and spread_key else [])
+    text = lines.select(*keep).withColumnRenamed(text_col, "text")
     if spread:
-        text = spread_if_narrow(text)
+        text = spread_if_narrow(text, spread_key)
     words = text.select(F.explode(F.split("text", separator_pattern(separators))).alias("token")).select(
         normalize_token(F.col("token")).alias("word")
     )

@@ -97,11 +97,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(_documents(spark, sf_dir), text_col="text")
+    return word_count(_documents(spark, sf_dir), text_col="text", spread_key="doc_id")
 
 
 def word_count_test_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(_documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text")
+    return word_count(
+        _documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text", spread_key="doc_id"
+    )
 
 
 def activity_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
