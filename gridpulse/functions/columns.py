@@ -63,16 +63,18 @@ def apply_null_policy(df: DataFrame, null_policy: str = S.ZERO) -> DataFrame:
     S.check_null_policy(null_policy)
     if null_policy == S.PROPAGATE:
         return df
-    keys = [k for k in (S.GRID_ID, S.INTERVAL_START, S.ACTIVITY_START_EPOCH, S.COUNTRY_CODE) if k in df.columns]
+    columns = set(df.columns)
+    keys = [k for k in (S.GRID_ID, S.INTERVAL_START, S.ACTIVITY_START_EPOCH, S.COUNTRY_CODE) if k in columns]
     return fill_measures(df).dropna(subset=keys)
 
 
 def epoch_column(df: DataFrame) -> str:
     """Name of the epoch column: ``intervalStart`` or ``activityStartEpoch``."""
+    columns = df.columns
     for name in (S.INTERVAL_START, S.ACTIVITY_START_EPOCH):
-        if name in df.columns:
+        if name in columns:
             return name
-    raise ValueError(f"no epoch column ({S.INTERVAL_START} or {S.ACTIVITY_START_EPOCH}) in {df.columns}")
+    raise ValueError(f"no epoch column ({S.INTERVAL_START} or {S.ACTIVITY_START_EPOCH}) in {columns}")
 
 
 def with_activity_columns(
