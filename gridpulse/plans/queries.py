@@ -80,21 +80,23 @@ def grid_daily_peak_window(prepared: DataFrame, duration: str = "1 hour") -> Dat
     return peaks.select(S.GRID_ID, F.col("window.start").alias("start"), F.col("window.end").alias("end"), S.SUMMED_ACTIVITY)
 
 
-def rank_grids_daily(prepared: DataFrame) -> DataFrame:
+def rank_grids_daily(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
     """Grid cells ranked by their daily total, within each day.
 
-    ``gridId, activityDate, totalActivity, rank``.
+    ``gridId, activityDate, totalActivity, rank``. ``rank_strategy="range"``
+    spreads a day with a huge number of grids over many tasks (see
+    :func:`with_rank`).
     """
-    return with_rank(A.grid_daily_totals(prepared), [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY)
+    return with_rank(A.grid_daily_totals(prepared), [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY, strategy=rank_strategy)
 
 
-def rank_grids_by_peak_hour(prepared: DataFrame) -> DataFrame:
+def rank_grids_by_peak_hour(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
     """Grid cells ranked within each day by the activity of their busiest hour.
 
     ``gridId, activityDate, hour, summedActivity, rank``; a grid with tied peak
     hours appears once per hour.
     """
-    return with_rank(grid_daily_peak_hour(prepared), [S.ACTIVITY_DATE], S.SUMMED_ACTIVITY)
+    return with_rank(grid_daily_peak_hour(prepared), [S.ACTIVITY_DATE], S.SUMMED_ACTIVITY, strategy=rank_strategy)
 
 
 def average_per_grid_day(prepared: DataFrame) -> DataFrame:
@@ -145,12 +147,12 @@ def internet_categories(prepared: DataFrame, buckets: int = 3) -> DataFrame:
     return country_quantile_categories(prepared, buckets).select("internetCategory").distinct()
 
 
-def rank_grid_hours(prepared: DataFrame) -> DataFrame:
+def rank_grid_hours(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
     """Every (grid, hour) sum of a day, ranked within that day.
 
     ``gridId, activityDate, hour, summedActivity, rank``.
     """
-    return with_rank(A.grid_hourly_totals(prepared), [S.ACTIVITY_DATE], S.SUMMED_ACTIVITY)
+    return with_rank(A.grid_hourly_totals(prepared), [S.ACTIVITY_DATE], S.SUMMED_ACTIVITY, strategy=rank_strategy)
 
 
 def grid_day_hour_ranking(prepared: DataFrame, grid_id: int, day: _dt.date | str) -> DataFrame:

@@ -187,3 +187,17 @@ def test_grid_daily_peak_hour_and_window(spark, rows, policy):
     }
     got_windows = {tuple(r) for r in Q.grid_daily_peak_window(df).collect()}
     assert got_windows == want_windows
+
+
+@SETTINGS
+@given(records, st.sampled_from(S.NULL_POLICIES), st.integers(1, 7))
+def test_rank_strategies_agree(spark, rows, policy, parts):
+    from gridpulse.operators.peaks import with_rank
+
+    df = prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA), policy)
+    keys = [S.ACTIVITY_DATE]
+    by_window = with_rank(df, keys, S.TOTAL_ACTIVITY)
+    by_range = with_rank(df, keys, S.TOTAL_ACTIVITY, strategy="range", buckets=parts)
+    assert by_range.columns == by_window.columns
+    assert by_range.schema == by_window.schema
+    assert sorted(map(tuple, by_range.collect()), key=repr) == sorted(map(tuple, by_window.collect()), key=repr)

@@ -202,3 +202,10 @@ def test_max_total_and_interval_bounds(activity):
 def test_peak_rows_needs_partition(activity):
     with pytest.raises(ValueError):
         peak_rows(prepare_activity(_tie_day(activity)), [], S.TOTAL_ACTIVITY)
+
+
+def test_rank_questions_with_the_range_strategy(activity):
+    raw = activity([rec(g, epoch_ms(2013, 11, 1 + g % 2, g % 24), internet=float(g % 5)) for g in range(1, 60)])
+    prepared = prepare_activity(raw)
+    for fn in (Q.rank_grids_daily, Q.rank_grid_hours, Q.rank_grids_by_peak_hour):
+        assert sorted(fn(prepared, rank_strategy="range").collect()) == sorted(fn(prepared).collect()), fn.__name__

@@ -109,3 +109,23 @@ def test_tied_hot_group_is_split_by_the_join_strategy(spark):
         map(tuple, peak_rows(df, keys, S.TOTAL_ACTIVITY, drop_null_peaks=True).collect()), key=repr
     )
     df.unpersist()
+
+
+def test_one_huge_day_is_ranked_by_many_tasks(spark):
+    from gridpulse.operators.peaks import with_rank
+
+    rows = [(i, epoch_ms(2013, 11, 1, i % 24), 39, float(i % 997), None, None, None, None) for i in range(ROWS)]
+    daily = Q.A.grid_daily_totals(prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA)))
+    daily = daily.repartition(TASKS).cache()  # a large day arrives in many partitions
+    daily.count()
+    ranked = with_rank(daily, [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY, strategy="range", buckets=TASKS)
+    # at this size adaptive execution would merge everything into one partition
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = ranked.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == ROWS  # one day, many tasks
+    plain = with_rank(daily, [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY)
+    assert ranked.exceptAll(plain).count() == 0 and plain.exceptAll(ranked).count() == 0
+    daily.unpersist()
