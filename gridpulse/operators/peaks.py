@@ -28,6 +28,14 @@ _PEAK_MAX = "__peak_max"
 STRATEGIES = ("window", "join")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on ``on`` with null-safe equality; keeps ``left``'s copies."""
+    lhs, rhs = left.alias("l"), right.alias("r")
+    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
+    extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
+    return lhs.join(rhs, cond, "inner").select(*[F.col(f"l.{c}") for c in left.columns], *extra)
+
+
 def peak_rows(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -65,11 +73,9 @@ def _peak_rows_by_join(df: DataFrame, keys: list[str], order_by: str) -> DataFra
     """Rows equal to their group's maximum; a group with no value keeps its
     null rows (as ``rank() = 1`` does). Keys match null-safely."""
     maxes = df.groupBy(*keys).agg(F.max(order_by).alias(_PEAK_MAX))
-    rows, top = df.alias("rows"), maxes.alias("top")
-    cond = [F.col(f"rows.{k}").eqNullSafe(F.col(f"top.{k}")) for k in keys]
-    value, mx = F.col(f"rows.{order_by}"), F.col(f"top.{_PEAK_MAX}")
+    value, mx = F.col(order_by), F.col(_PEAK_MAX)
     keep = (value == mx) | (mx.isNull() & value.isNull())
-    return rows.join(top, cond, "inner").where(keep).select("rows.*")
+    return _null_safe_join(df, maxes, keys).where(keep).drop(_PEAK_MAX)
 
 
 _BUCKET = "__bucket"
@@ -116,14 +122,6 @@ def with_rank(
     return df.withColumn(name, F.rank().over(w))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on ``on`` with null-safe equality; keeps ``left``'s copies."""
-    lhs, rhs = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
-    extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
-    return lhs.join(rhs, cond, "inner").select(*[F.col(f"l.{c}") for c in left.columns], *extra)
-
-
 def _rank_by_ranges(df: DataFrame, keys: list[str], order_by: str, name: str, buckets: int | None) -> DataFrame:
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(order_by)
