@@ -25,8 +25,10 @@ from gridpulse.functions.text import normalize_token, normalize_word, separator_
 DEFAULT_SEPARATORS = " "
 DEFAULT_STOP_WORDS = ("the",)
 
-# Beyond this many stop words, filter with a broadcast anti join instead of IN.
+# Beyond this many stop words, filter with an anti join instead of IN; the
+# stop-word table is broadcast up to the second limit, shuffled beyond it.
 _INSET_LIMIT = 50_000
+_BROADCAST_LIMIT = 2_000_000
 
 
 def spread_if_narrow(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -74,7 +76,9 @@ def word_count(
         words = words.where(~F.col("word").isin(stops))
     elif stops:
         stop_df = lines.sparkSession.createDataFrame([(w,) for w in stops], "word string")
-        words = words.join(F.broadcast(stop_df), "word", "left_anti")
+        if len(stops) <= _BROADCAST_LIMIT:
+            stop_df = F.broadcast(stop_df)
+        words = words.join(stop_df, "word", "left_anti")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -57,3 +57,15 @@ def test_whole_long_text_is_counted(spark):
     text = " ".join(["tok"] * 20000 + ["end"])
     counts = _counts(spark, [text])
     assert counts == {"tok": 20000, "end": 1}
+
+
+def test_huge_stop_list_is_not_broadcast(spark, monkeypatch):
+    from gridpulse.operators import words
+
+    monkeypatch.setattr(words, "_INSET_LIMIT", 2)
+    monkeypatch.setattr(words, "_BROADCAST_LIMIT", 3)
+    df = spark.createDataFrame([("keep drop w1 w2 keep",)], "value string")
+    out = word_count(df, stop_words=["drop", "w1", "w2", "w3"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+    assert {r.word: r["count"] for r in out.collect()} == {"keep": 2}
