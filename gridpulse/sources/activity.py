@@ -18,17 +18,25 @@ def read_activity(
     path: str | list[str],
     delimiter: str = "\t",
     schema: T.StructType = S.ACTIVITY_SCHEMA,
+    recursive: bool = False,
 ) -> DataFrame:
     """Headerless delimited records (tab by default) with a fixed schema.
 
     Malformed fields become null (permissive mode); empty fields are null.
+    ``recursive`` also reads files in sub-folders (e.g. one folder per day).
+    Filters on the record columns are applied while parsing.
     """
-    return spark.read.schema(schema).option("delimiter", delimiter).option("header", "false").csv(path)
+    reader = spark.read.schema(schema).option("delimiter", delimiter).option("header", "false")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.csv(path)
 
 
-def read_activity_epoch(spark: SparkSession, path: str | list[str], delimiter: str = "\t") -> DataFrame:
+def read_activity_epoch(
+    spark: SparkSession, path: str | list[str], delimiter: str = "\t", recursive: bool = False
+) -> DataFrame:
     """The same files, read with the epoch column named ``activityStartEpoch``."""
-    return read_activity(spark, path, delimiter, schema=S.EPOCH_ACTIVITY_SCHEMA)
+    return read_activity(spark, path, delimiter, schema=S.EPOCH_ACTIVITY_SCHEMA, recursive=recursive)
 
 
 def read_activity_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:

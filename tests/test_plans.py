@@ -77,3 +77,24 @@ def test_date_layout_is_range_partitioned(spark):
     df = R.QUERIES["activity_by_date"](spark, SF_SMALL)
     plan = _plan(df)
     assert "rangepartitioning(" in plan
+
+
+def test_date_filter_prunes_the_staged_table(spark, scratch):
+    from gridpulse.sinks import write_by_date
+
+    path = str(scratch / "staged")
+    write_by_date(prepare_activity(R.raw_long(spark, SF_SMALL)), path)
+    one_day = spark.read.parquet(path).where(f"{S.ACTIVITY_DATE} = date'2024-01-15'")
+    scan = [line for line in _plan(Q.daily_peak_hour(one_day)).splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(activityDate" in scan and "= 2024-01-15" in scan
+
+
+def test_filters_reach_the_delimited_scan(spark, scratch):
+    from gridpulse.sources import read_activity
+
+    p = scratch / "a.txt"
+    p.write_text("1\t1383264000000\t39\t1\t1\t1\t1\t1\n")
+    df = point_lookup(read_activity(spark, str(p)), **{S.GRID_ID: 1})
+    scan = [line for line in _plan(df).splitlines() if "FileScan csv" in line][0]
+    assert "PushedFilters: [IsNotNull(gridId), EqualTo(gridId,1)]" in scan
+    assert df.count() == 1

@@ -135,3 +135,11 @@ def test_write_by_date_cluster_limits_files(spark, scratch, activity):
     assert count(plain) == 36  # 12 tasks x 3 dates
     assert count(clustered) < count(plain)
     assert spark.read.parquet(str(clustered)).count() == 300
+
+
+def test_recursive_folders(spark, scratch):
+    for day in (1, 2):
+        sub = scratch / "full" / f"day={day}" / "part"
+        sub.mkdir(parents=True)
+        _tsv(sub / "x.txt", [f"{day}\t{epoch_ms(2013, 11, day)}\t39\t1\t1\t1\t1\t1"])
+    assert read_activity(spark, str(scratch / "full"), recursive=True).count() == 2
