@@ -36,7 +36,6 @@ def executor_pids(spark) -> list[int]:
 def main(argv: list[str]) -> int:
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
     from oracle_compare import compare, duckdb_connection
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
