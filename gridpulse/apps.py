@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import prepare_activity
@@ -47,6 +48,7 @@ def stage_prepared(
     null_policy: str = S.ZERO,
     delimiter: str = "\t",
     staging_dir: str | None = None,
+    schema: T.StructType = S.ACTIVITY_SCHEMA,
 ) -> DataFrame:
     """Parse and prepare the sources once; return the written table."""
     target = staging_dir
@@ -55,7 +57,7 @@ def stage_prepared(
         if not base:
             raise ValueError("give staging_dir or set spark.checkpoint.dir")
         target = f"{base.rstrip('/')}/gridpulse-staged-{uuid.uuid4().hex}"
-    write_by_date(prepare_activity(read_activity(spark, source, delimiter), null_policy), target)
+    write_by_date(prepare_activity(read_activity(spark, source, delimiter, schema), null_policy), target)
     return spark.read.parquet(target)
 
 
@@ -68,18 +70,20 @@ def activity_report(
     staging_dir: str | None = None,
     questions: Mapping[str, Callable[[DataFrame], DataFrame]] = REPORT_QUERIES,
     parallel: int = 1,
+    schema: T.StructType = S.ACTIVITY_SCHEMA,
 ) -> dict[str, str]:
     """Write each question's answer as JSON lines; return ``name -> path``.
 
     ``parallel > 1`` submits that many questions at once from worker threads,
     each in its own scheduler pool (named after the question; pools share the
     cluster under ``spark.scheduler.mode=FAIR``), so small final stages of
-    one question overlap with the work of another.
+    one question overlap with the work of another. ``schema`` may read the
+    measures as decimals (``schema.activity_schema(DecimalType(18, 2))``).
     """
     out = out_dir.rstrip("/")
     if staging_dir is None and not checkpoint_dir(spark):
         staging_dir = f"{out}/_staged"
-    table = stage_prepared(spark, source, null_policy, delimiter, staging_dir)
+    table = stage_prepared(spark, source, null_policy, delimiter, staging_dir, schema)
     paths = {name: f"{out}/{name}" for name in questions}
 
     def answer(name: str) -> None:

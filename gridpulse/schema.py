@@ -34,23 +34,30 @@ MEASURES: tuple[str, ...] = (SMS_IN, SMS_OUT, CALL_IN, CALL_OUT, INTERNET)
 KEYS: tuple[str, ...] = (GRID_ID, INTERVAL_START, COUNTRY_CODE)
 
 
-def _activity_schema(epoch_name: str, keys_nullable: bool) -> T.StructType:
+def activity_schema(
+    measure_type: T.DataType | None = None,
+    epoch_name: str = INTERVAL_START,
+    keys_nullable: bool = True,
+) -> T.StructType:
+    """Record schema; measures are doubles unless ``measure_type`` is given
+    (e.g. ``DecimalType(18, 2)`` for exact, order-independent sums)."""
+    measure = measure_type or T.DoubleType()
     return T.StructType(
         [
             T.StructField(GRID_ID, T.IntegerType(), keys_nullable),
             T.StructField(epoch_name, T.LongType(), keys_nullable),
             T.StructField(COUNTRY_CODE, T.IntegerType(), keys_nullable),
         ]
-        + [T.StructField(m, T.DoubleType(), True) for m in MEASURES]
+        + [T.StructField(m, measure, True) for m in MEASURES]
     )
 
 
 # Raw record: epoch in milliseconds, five nullable measures.
-ACTIVITY_SCHEMA = _activity_schema(INTERVAL_START, keys_nullable=True)
+ACTIVITY_SCHEMA = activity_schema()
 
 # The same layout with the epoch column named ``activityStartEpoch`` and the
 # keys declared non-nullable (file sources still read every column nullable).
-EPOCH_ACTIVITY_SCHEMA = _activity_schema(ACTIVITY_START_EPOCH, keys_nullable=False)
+EPOCH_ACTIVITY_SCHEMA = activity_schema(epoch_name=ACTIVITY_START_EPOCH, keys_nullable=False)
 
 # Null policies for the total of the five measures:
 #   "zero"      -> null and NaN measures become 0 before summing; every row counts
