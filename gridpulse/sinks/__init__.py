@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import activity_date
-from gridpulse.operators.partitioning import partition_by_date
 from gridpulse.operators.words import format_counts
 
 MAX_SINGLE_FILE_ROWS = 5_000_000
@@ -48,6 +47,18 @@ def write_word_counts(counts: DataFrame, path: str) -> None:
     format_counts(counts).write.mode("errorifexists").text(path)
 
 
+def dated_for_write(
+    df: DataFrame,
+    ts: str = S.ACTIVITY_DATE_TIME,
+    date_col: str = S.ACTIVITY_DATE,
+    cluster: bool = False,
+) -> DataFrame:
+    """The frame ``write_by_date`` writes: ``df`` with its date column, and
+    with a ``REBALANCE`` on the date when ``cluster`` is set."""
+    out = df if date_col in df.columns else df.withColumn(date_col, activity_date(ts))
+    return out.hint("rebalance", date_col) if cluster else out
+
+
 def write_by_date(
     df: DataFrame,
     path: str,
@@ -61,14 +72,13 @@ def write_by_date(
 
     By default rows are not shuffled: each task writes the dates it holds,
     which suits input already laid out by time (one file per day). For input
-    in no time order, ``cluster=True`` first range-partitions by time
-    (``partition_by_date``), so each task writes one contiguous stretch and
-    a date gets a few large files instead of one small file per task.
+    in no time order, ``cluster=True`` adds a ``REBALANCE`` on the date:
+    rows are clustered by date, and adaptive execution splits the partition
+    of a busy date and merges small ones, so each date gets a few files of
+    about the advisory size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    instead of one small file per task.
     """
-    out = df if date_col in df.columns else df.withColumn(date_col, activity_date(ts))
-    if cluster:
-        out = partition_by_date(out, ts=ts)
-    out.write.mode(mode).partitionBy(date_col).parquet(path)
+    dated_for_write(df, ts, date_col, cluster).write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 def preview(df: DataFrame, n: int = 10, truncate: bool | int = True) -> None:
@@ -76,4 +86,4 @@ def preview(df: DataFrame, n: int = 10, truncate: bool | int = True) -> None:
     df.show(n, truncate)
 
 
-__all__ = ["MAX_SINGLE_FILE_ROWS", "preview", "write_by_date", "write_json", "write_word_counts"]
+__all__ = ["MAX_SINGLE_FILE_ROWS", "dated_for_write", "preview", "write_by_date", "write_json", "write_word_counts"]

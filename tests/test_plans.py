@@ -98,3 +98,13 @@ def test_filters_reach_the_delimited_scan(spark, scratch):
     scan = [line for line in _plan(df).splitlines() if "FileScan csv" in line][0]
     assert "PushedFilters: [IsNotNull(gridId), EqualTo(gridId,1)]" in scan
     assert df.count() == 1
+
+
+def test_clustered_write_rebalances_by_date(spark):
+    from gridpulse.sinks import dated_for_write
+
+    prepared = prepare_activity(R.raw_long(spark, SF_SMALL))
+    plan = dated_for_write(prepared, cluster=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [activityDate" in plan
+    plain = dated_for_write(prepared)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" not in plain
