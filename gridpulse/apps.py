@@ -49,15 +49,20 @@ def stage_prepared(
     delimiter: str = "\t",
     staging_dir: str | None = None,
     schema: T.StructType = S.ACTIVITY_SCHEMA,
+    cluster: bool = False,
 ) -> DataFrame:
-    """Parse and prepare the sources once; return the written table."""
+    """Parse and prepare the sources once; return the written table.
+
+    ``cluster`` rebalances rows by date before writing (for sources not laid
+    out by day; see ``sinks.write_by_date``)."""
     target = staging_dir
     if target is None:
         base = checkpoint_dir(spark)
         if not base:
             raise ValueError("give staging_dir or set spark.checkpoint.dir")
         target = f"{base.rstrip('/')}/gridpulse-staged-{uuid.uuid4().hex}"
-    write_by_date(prepare_activity(read_activity(spark, source, delimiter, schema), null_policy), target)
+    prepared = prepare_activity(read_activity(spark, source, delimiter, schema), null_policy)
+    write_by_date(prepared, target, cluster=cluster)
     return spark.read.parquet(target)
 
 
@@ -71,6 +76,7 @@ def activity_report(
     questions: Mapping[str, Callable[[DataFrame], DataFrame]] = REPORT_QUERIES,
     parallel: int = 1,
     schema: T.StructType = S.ACTIVITY_SCHEMA,
+    cluster_staging: bool = False,
 ) -> dict[str, str]:
     """Write each question's answer as JSON lines; return ``name -> path``.
 
@@ -83,7 +89,7 @@ def activity_report(
     out = out_dir.rstrip("/")
     if staging_dir is None and not checkpoint_dir(spark):
         staging_dir = f"{out}/_staged"
-    table = stage_prepared(spark, source, null_policy, delimiter, staging_dir, schema)
+    table = stage_prepared(spark, source, null_policy, delimiter, staging_dir, schema, cluster_staging)
     paths = {name: f"{out}/{name}" for name in questions}
 
     def answer(name: str) -> None:
@@ -127,6 +133,7 @@ def main(argv: list[str] | None = None) -> None:
     rep.add_argument("--delimiter", default="\t")
     rep.add_argument("--staging-dir")
     rep.add_argument("--parallel", type=int, default=1, help="questions answered at once")
+    rep.add_argument("--cluster-staging", action="store_true", help="rebalance by date before staging")
     wc = sub.add_parser("wordcount", help="word count -> (word,count) lines")
     wc.add_argument("input")
     wc.add_argument("output")
@@ -138,7 +145,14 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "report":
             activity_report(
-                spark, args.input, args.out_dir, args.null_policy, args.delimiter, args.staging_dir, parallel=args.parallel
+                spark,
+                args.input,
+                args.out_dir,
+                args.null_policy,
+                args.delimiter,
+                args.staging_dir,
+                parallel=args.parallel,
+                cluster_staging=args.cluster_staging,
             )
         else:
             stops = args.stop_words if args.stop_words is not None else DEFAULT_STOP_WORDS

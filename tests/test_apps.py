@@ -28,7 +28,9 @@ def test_report_matches_direct_queries(spark, scratch):
     out = scratch / "out"
     paths = activity_report(spark, str(src), str(out), staging_dir=str(scratch / "staged"))
     together = scratch / "together"
-    activity_report(spark, str(src), str(together), staging_dir=str(scratch / "staged2"), parallel=3)
+    activity_report(
+        spark, str(src), str(together), staging_dir=str(scratch / "staged2"), parallel=3, cluster_staging=True
+    )
     assert set(paths) == set(REPORT_QUERIES)
     direct = prepare_activity(read_activity(spark, str(src)))
     for name, fn in REPORT_QUERIES.items():
