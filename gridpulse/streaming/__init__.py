@@ -39,18 +39,19 @@ def grid_window_totals_stream(
     null_policy: str = S.PROPAGATE,
     duration: str = "1 hour",
     watermark: str = "2 hours",
+    keys: tuple[str, ...] = (S.GRID_ID,),
 ) -> DataFrame:
-    """``gridId, start, end, summedActivity`` per tumbling window, updated as
-    records arrive. With output mode ``append`` a window is emitted once the
-    watermark passes its end."""
+    """``<keys>, start, end, summedActivity`` per tumbling window, updated as
+    records arrive (``keys=()`` gives network-wide totals). With output mode
+    ``append`` a window is emitted once the watermark passes its end."""
     prepared = prepare_activity(raw_stream, null_policy)
     sums = (
         prepared.withWatermark(S.ACTIVITY_DATE_TIME, watermark)
-        .groupBy(S.GRID_ID, F.window(S.ACTIVITY_DATE_TIME, duration))
+        .groupBy(*keys, F.window(S.ACTIVITY_DATE_TIME, duration))
         .agg(F.sum(S.TOTAL_ACTIVITY).alias(S.SUMMED_ACTIVITY))
     )
     return sums.select(
-        S.GRID_ID, F.col("window.start").alias("start"), F.col("window.end").alias("end"), S.SUMMED_ACTIVITY
+        *keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), S.SUMMED_ACTIVITY
     )
 
 

@@ -71,3 +71,25 @@ def test_records_later_than_the_watermark_are_dropped(spark, scratch):
         q.stop()
     got = [(r.start, r[S.SUMMED_ACTIVITY]) for r in spark.sql("select * from late_windows").collect()]
     assert got == [(dt.datetime(2013, 11, 1, 10), 5.0)]
+
+
+def test_network_wide_stream(spark, scratch):
+    src = scratch / "in"
+    src.mkdir()
+    lines = [f"{g}\t{epoch_ms(2013, 11, 1, 9, 5 * g)}\t39\t1\t1\t1\t1\t{g}" for g in (1, 2, 3)]
+    lines.append(f"1\t{epoch_ms(2013, 11, 1, 14)}\t39\t1\t1\t1\t1\t1")
+    (src / "a.txt").write_text("\n".join(lines) + "\n")
+    stream = grid_window_totals_stream(read_activity_stream(spark, str(src)), keys=(), watermark="1 hour")
+    q = (
+        stream.writeStream.outputMode("append")
+        .format("memory")
+        .queryName("network_windows")
+        .option("checkpointLocation", str(scratch / "ckpt"))
+        .start()
+    )
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = [tuple(r) for r in spark.sql("select * from network_windows").collect()]
+    assert got == [(dt.datetime(2013, 11, 1, 9), dt.datetime(2013, 11, 1, 10), 4.0 * 3 + 6.0)]
