@@ -209,3 +209,14 @@ def test_rank_questions_with_the_range_strategy(activity):
     prepared = prepare_activity(raw)
     for fn in (Q.rank_grids_daily, Q.rank_grid_hours, Q.rank_grids_by_peak_hour):
         assert sorted(fn(prepared, rank_strategy="range").collect()) == sorted(fn(prepared).collect()), fn.__name__
+
+
+def test_range_rank_on_exact_decimal_totals(spark):
+    from conftest import SF_ORACLE
+
+    from gridpulse.plans import registry as R
+
+    prepared = prepare_activity(R.raw_long(spark, SF_ORACLE))  # decimal(18,2) measures
+    by_range = Q.rank_grids_daily(prepared, rank_strategy="range")
+    assert by_range.exceptAll(Q.rank_grids_daily(prepared)).count() == 0
+    assert by_range.count() == 4006
