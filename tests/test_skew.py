@@ -118,14 +118,21 @@ def test_one_huge_day_is_ranked_by_many_tasks(spark):
     daily = Q.A.grid_daily_totals(prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA)))
     daily = daily.repartition(TASKS).cache()  # a large day arrives in many partitions
     daily.count()
-    ranked = with_rank(daily, [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY, strategy="range", buckets=TASKS)
-    # at this size adaptive execution would merge everything into one partition
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # At this size adaptive execution may broadcast and merge everything into
+    # one partition; plan it as at scale, where the value ranks are too large
+    # to broadcast and the final join is shuffled on (day, value).
+    at_scale = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in at_scale}
+    for k, v in at_scale.items():
+        spark.conf.set(k, v)
     try:
+        ranked = with_rank(daily, [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY, strategy="range", buckets=TASKS)
         per_task = ranked.groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == ROWS  # one day, many tasks
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(per_task) == TASKS and sum(r["count"] for r in per_task) == ROWS  # one day, many tasks
+    assert max(r["count"] for r in per_task) < ROWS // 2
     plain = with_rank(daily, [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY)
     assert ranked.exceptAll(plain).count() == 0 and plain.exceptAll(ranked).count() == 0
     daily.unpersist()
