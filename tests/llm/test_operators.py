@@ -356,8 +356,8 @@ def test_pii_redaction(spark):
 
 def test_boosting_and_calibration():
     blank = {f: 0 for f in pii.FEATURES}
-    rows = [blank | {"digits": d, "plus": p} for d in range(4, 20) for p in (0, 1)] * 4
-    labels = [int(r["digits"] > 9 and r["plus"]) for r in rows]
+    rows = [blank | {"digits": d, "hint": p} for d in range(4, 20) for p in (0, 1)] * 4
+    labels = [int(r["digits"] > 9 and r["hint"]) for r in rows]
     model = pii.calibrated(pii.boost(rows, labels), rows, labels, ["phone"] * len(rows))
     bar = model.thresholds["phone"]
     assert model.thresholds["email"] is None
