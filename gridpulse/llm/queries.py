@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.llm import byte_bpe, exact_dedup, html_text, jaccard_join, mtree_search, packing, pii, token_counts, toxicity
+from gridpulse.llm import byte_bpe, exact_dedup, html_text, jaccard_join, line_dedup, mtree_search, packing, pii, token_counts, toxicity
 from gridpulse.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -23,10 +23,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from gridpulse.llm import line_dedup
-
-    docs = table(spark, sf_dir, "documents")
-    return line_dedup.clean_lines(docs)
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
