@@ -25,6 +25,12 @@ if str(_ROOT) not in sys.path:
 
 from gridpulse.plans import registry  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from gridpulse.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 ENTRY_SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -34,7 +40,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(registry.QUERIES)
+    named = dict(registry.QUERIES)
+    if llm is not None:
+        named |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return named
 
 
 # --------------------------------------------------------------------------
@@ -314,7 +323,10 @@ GROUP BY word"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    extra = {}
+    if llm is not None:
+        extra = llm.ORACLE_SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return extra | {
         "daily_peak_hour": _q_daily_peak_hour("long", "zero"),
         "daily_peak_hour_propagate": _q_daily_peak_hour("cells", "propagate"),
         "daily_peak_hour_max": _q_daily_peak_hour_max(),
