@@ -20,18 +20,20 @@ part.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import staged
-from gridpulse.llm.token_counts import chunks
+from gridpulse.llm.token_counts import SPLIT, chunks, lower
 
 CAPACITY = 2048
 #: The id that ends a document.
@@ -105,19 +107,41 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_chunks = Tokenizer.from_file(vocabulary), max_chunks
-        self.known: dict[str, bytes] = {}
+        self.split = regex.compile(SPLIT)
+        marks = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.ends_word[[i for t, i in marks.items() if t.endswith("</w>")]] = True
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new pre-tokens many at a time; every pre-token ends with one word-end token."""
+        for lo in range(0, len(words), 5000):
+            part = words[lo : lo + 5000]
+            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(part, (4 * ends).tolist()):
+                self.words[w] = raw[at:end]
+                at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """White space only separates tokens in this vocabulary, so chunks encode on their own."""
-        if len(self.known) > self.max_chunks:
-            self.known = {}
+        if len(self.chunks) > self.max_chunks:
+            self.chunks, self.words = {}, {}
         cut = [chunks(t) for t in texts]
-        new = list({c for cs in cut for c in cs if c not in self.known})
-        for lo in range(0, len(new), 10_000):
-            part = new[lo : lo + 10_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, cs)) for cs in cut]
+        parts = {}
+        for c in {c for cs in cut for c in cs if c not in self.chunks}:
+            if "<|" in c:  # may hold a special string
+                self.chunks[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            else:
+                parts[c] = self.split.findall(lower(unicodedata.normalize("NFC", c)))
+        self._learn(list({w for ws in parts.values() for w in ws if w not in self.words}))
+        for c, ws in parts.items():
+            self.chunks[c] = b"".join(map(self.words.__getitem__, ws))
+        return [b"".join(map(self.chunks.__getitem__, cs)) for cs in cut]
 
 
 def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:
