@@ -42,9 +42,9 @@ from gridpulse.llm.common import staged
 
 K = 5
 SCALE = 256
-PIVOTS = 64
+PIVOTS = 16
 TREE_SIZE = 8192
-PAGE = 64
+PAGE = 256
 FAN_OUT = 16
 QUERY_BLOCK = 2048
 _LONG = 2**63
@@ -69,14 +69,14 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary())], names=["vec_id", "vec"])
 
 
-def products(matrix: np.ndarray, q: np.ndarray) -> list[int]:
-    """Exact integer inner products of the rows of ``matrix`` with ``q``."""
+def products(matrix: np.ndarray, q: np.ndarray, largest: float) -> np.ndarray:
+    """Exact integer inner products of the rows of ``matrix`` (entries up to ``largest``) with ``q``."""
     if not matrix.size:
-        return [0] * len(matrix)
-    if np.abs(matrix).max() * np.abs(q).max() * len(q) < 2.0**53:
-        return (matrix @ q).astype(np.int64).tolist()
+        return np.zeros(len(matrix), dtype=np.int64)
+    if largest * np.abs(q).max() * len(q) < 2.0**53:
+        return (matrix @ q).astype(np.int64)
     big = [int(x) for x in q]
-    return [max(-_LONG, min(_LONG - 1, sum(int(a) * b for a, b in zip(row, big)))) for row in matrix]
+    return np.array([max(-_LONG, min(_LONG - 1, sum(int(a) * b for a, b in zip(row, big)))) for row in matrix], dtype=np.int64)
 
 
 class MTree:
@@ -92,6 +92,7 @@ class MTree:
     def __init__(self, **arrays: np.ndarray) -> None:
         for name in self.FIELDS:
             setattr(self, name, arrays[name])
+        self.largest = float(np.abs(self.vectors).max(initial=0.0))
 
     @classmethod
     def build(cls, vectors: np.ndarray) -> "MTree":
@@ -160,7 +161,7 @@ class MTree:
         """Best-first search: (score, row) of every row that may be among the best ``k``
         ids scoring ``at_least`` or more; ``weight``: ids that each row stands for."""
         norm = float(np.linalg.norm(q))
-        slack = 1e-6 + 1e-9 * norm * float(np.abs(self.vectors).max(initial=0.0)) * max(1, len(q)) ** 0.5
+        slack = 1e-6 + 1e-9 * norm * self.largest * max(1, len(q)) ** 0.5
         best: list[tuple[int, int]] = []  # heap, lowest score first
         held, bar = 0, at_least
         root = float(self.vectors[self.centre[0]] @ q)
@@ -173,7 +174,10 @@ class MTree:
             if self.leaf[node]:
                 may = np.flatnonzero(product + norm * self.to_leaf[first:last] + slack >= bar)
                 rows = self.entry[first:last][may]
-                for score, row in zip(products(self.vectors[rows], q), rows.tolist()):
+                scores = products(self.vectors[rows], q, self.largest)
+                high = np.flatnonzero(scores >= bar)
+                high = high[np.argsort(-scores[high], kind="stable")]  # the best first: the bar rises at once
+                for score, row in zip(scores[high].tolist(), rows[high].tolist()):
                     if score >= bar:
                         heapq.heappush(best, (score, row))
                         held += weight[row]
