@@ -24,8 +24,7 @@ null ids are scored row by row.  Further columns play no part.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.llm.common import staged
+
 #: Labelled rows that training reads at most.
 MAX_TRAIN = 16_000
 #: Informative words kept at most, and what makes a word informative.
@@ -72,43 +73,32 @@ class Model:
         return float(min(1.0, max(0.0, 1 - clean)))
 
 
-def _informative(bags: list[set[str]], labels: np.ndarray) -> list[str]:
-    """Words whose share of toxic documents differs from that of the others."""
-    toxic, other = Counter(), Counter()
-    for bag, y in zip(bags, labels):
-        (toxic if y else other).update(bag)
-    n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
-    scored = []
-    for w in toxic.keys() | other.keys():
-        a, b = toxic[w], other[w]
-        if a + b < MIN_DOCS:
-            continue
-        share = (a + b + 1) / (n1 + n0 + 2)
-        z = abs(a / n1 - b / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
-        if z >= MIN_Z:
-            scored.append((-z, w))
-    return [w for _, w in sorted(scored)[:MAX_WORDS]]
-
-
-def train(texts: list[str | None], toxic: list[int], epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-4) -> Model:
+def separation(toxic: float, other: float, n_toxic: int, n_other: int) -> float:
+    """Standard errors between a word's shares of toxic and of other documents."""
+    share = (toxic + other + 1) / (n_toxic + n_other + 2)
+    return abs(toxic / n_toxic - other / n_other) / np.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_other))
+
+
+def informative(counts: Iterable[tuple[str, int, int]], n_toxic: int, n_other: int) -> list[str]:
+    """The words of (word, toxic documents, other documents) that tell the two apart."""
+    scored = [(-separation(a, b, n_toxic, n_other), w) for w, a, b in counts if a + b >= MIN_DOCS]
+    return [w for z, w in sorted(scored)[:MAX_WORDS] if -z >= MIN_Z]
+
+
+def sentence_hits(text: str | None, number: dict[str, int]) -> list[list[int]]:
+    """Numbers of the informative words of each sentence that has any."""
+    found = ({number[w] for w in _WORDS.findall(s.lower()) if w in number} for s in sentences(text))
+    return [sorted(h) for h in found if h]
+
+
+def descend(bags: list[list[list[int]]], labels: np.ndarray, words: list[str], epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-4) -> Model:
     """Fit word weights from document labels (full-batch Adam on the noisy-or log loss)."""
-    labels = np.array([1 if y else 0 for y in toxic], dtype=np.int64)
-    if not len(labels) or labels.min() == labels.max():
+    owner = np.array([d for d, bag in enumerate(bags) for _ in bag], dtype=np.int64)
+    if not len(owner) or labels.min() == labels.max():
         return Model({}, 0.0, float(labels.mean()) if len(labels) else 0.0)
-    split = [[set(_WORDS.findall(s.lower())) for s in sentences(t)] for t in texts]
-    words = _informative([set().union(*bags) if bags else set() for bags in split], labels)
-    number = {w: i for i, w in enumerate(words)}
-    columns, rows, owner = [], [], []  # word and sentence of each hit; document of each sentence
-    for d, bags in enumerate(split):
-        for bag in bags:
-            hits = sorted(number[w] for w in bag if w in number)
-            if hits:
-                columns += hits
-                rows += [len(owner)] * len(hits)
-                owner.append(d)
-    if not owner:
-        return Model({}, 0.0, float(labels.mean()))
-    columns, rows, owner = map(np.array, (columns, rows, owner))
+    hits = [h for bag in bags for h in bag]
+    columns = np.array([c for h in hits for c in h], dtype=np.int64)
+    rows = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
     weights, bias = np.zeros(len(words)), -2.0
     moments = [np.zeros(len(words) + 1), np.zeros(len(words) + 1)]
     balance = np.where(labels == 1, len(labels) / (2 * labels.sum()), len(labels) / (2 * (len(labels) - labels.sum())))
@@ -117,7 +107,7 @@ def train(texts: list[str | None], toxic: list[int], epochs: int = EPOCHS, rate:
         s = np.clip(s, 1e-9, 1 - 1e-9)
         log_clean = np.log1p(-LEAK) + np.bincount(owner, np.log1p(-s), len(labels))
         p = np.clip(-np.expm1(log_clean), 1e-9, 1 - 1e-9)
-        # d loss / d log_clean: 1 for label 0 (loss -log_clean), -(1-p)/p for label 1
+        # d loss / d log_clean: -1 for label 0 (loss -log_clean), (1-p)/p for label 1
         slope = np.where(labels == 1, (1 - p) / p, -1.0) * balance
         z = slope[owner] * -s  # d loss / d z of a sentence
         grad = np.append(np.bincount(columns, z[rows], len(words)), z.sum()) / len(labels)
@@ -155,8 +145,39 @@ def fit(
     )
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # at most max_train ids: broadcast; the texts of one id are one training row each
-    rows = texts.join(F.broadcast(sample), "id").limit(2 * max_train).toPandas().sort_values(["id", "text"])
-    return train(rows["text"].tolist(), rows["y"].tolist())
+    rows = staged(texts.join(F.broadcast(sample), "id").select("text", "y"), "toxicity-sample")
+    totals = {r["y"]: r["count"] for r in rows.withColumn("y", (F.col("y") != 0).cast("int")).groupBy("y").count().collect()}
+    n_toxic, n_other = totals.get(1, 0), totals.get(0, 0)
+    if not n_toxic or not n_other:
+        return Model({}, 0.0, 1.0 if n_toxic else 0.0)
+    toxic = (F.col("y") != 0).cast("long")
+    counts = (
+        rows.mapInArrow(_distinct_words, "y int, word string")
+        .groupBy("word")
+        .agg(F.sum(toxic).alias("a"), F.sum(1 - toxic).alias("b"))
+        .where(F.col("a") + F.col("b") >= MIN_DOCS)
+    )
+    gap = F.abs(F.col("a") / n_toxic - F.col("b") / n_other)
+    top = counts.orderBy(F.desc(gap), "word").limit(8 * MAX_WORDS).collect()  # bounded; the exact test follows
+    words = informative([(r["word"], r["a"], r["b"]) for r in top], n_toxic, n_other)
+    number = {w: i for i, w in enumerate(words)}
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = [sentence_hits(t, number) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(hits, pa.list_(pa.list_(pa.int32())))], names=["y", "bag"])
+
+    seen = rows.mapInArrow(bags, "y int, bag array<array<int>>").collect()  # at most max_train rows of hits
+    seen.sort(key=lambda r: (r["y"], r["bag"]))
+    return descend([r["bag"] for r in seen], np.array([int(r["y"] != 0) for r in seen], dtype=np.int64), words)
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = [(y, w) for t, y in zip(*(c.to_pylist() for c in batch.columns)) for w in set(_WORDS.findall((t or "").lower()))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([y for y, _ in pairs], pa.int32()), pa.array([w for _, w in pairs], pa.string())], names=["y", "word"]
+        )
 
 
 def _scorer(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -271,7 +271,10 @@ def test_noisy_or_finds_the_offending_sentence():
         at = rng.randrange(6)
         texts.append(". ".join(sentence(bad and k == at) for k in range(6)))
         labels.append(int(bad))
-    model = toxicity.train(texts, labels)
+    share = {w: [sum(w in t.split() and y == side for t, y in zip([x.replace(".", "") for x in texts], labels)) for side in (1, 0)] for w in [*words, "zap"]}
+    chosen = toxicity.informative([(w, a, b) for w, (a, b) in share.items()], sum(labels), len(labels) - sum(labels))
+    bags = [toxicity.sentence_hits(t, {w: i for i, w in enumerate(chosen)}) for t in texts]
+    model = toxicity.descend(bags, np.array(labels), chosen)
     assert all((model.score(t) >= 0.5) == bool(y) for t, y in zip(texts, labels))
     assert all(("zap" in s) == (model.sentence_score(s) >= 0.5) for t in texts for s in toxicity.sentences(t))
 
