@@ -359,7 +359,7 @@ def jaccard_components(
     members = placed.union(pivots).groupBy("node").agg(F.collect_set(F.struct("pivot", "at")).alias("places"))
     placed_texts = (
         rows.where("doc_id is not null")
-        .join(members, F.col("doc_id") == F.col("node"))
+        .join(members.hint("merge"), F.col("doc_id") == F.col("node"))  # the same plan at every size
         .select("node", "text", F.explode("places").alias("place"))
         .select("node", "text", "place.pivot", "place.at.i", "place.at.j")
     )
