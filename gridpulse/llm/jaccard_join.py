@@ -9,10 +9,10 @@ The answer is exact: every document gets its component under all such links.
    ``H = (|x| + |y|) * (1 - t) / (1 + t)`` shingles.  With the shingles dealt
    over more than H cells (by hash, as many cells as the size level needs), a
    linked pair agrees completely on some cell that is not empty in both.  The
-   points that agree on a cell form a region; its pivot is the smallest id, so
-   each linked pair meets in the region of at least one pivot, and points that
-   share no cell with any other are done.  Sizes near a level's border are
-   entered at both levels.
+   points that agree on a cell form a region, and regions that share a point are
+   merged; a region's pivot is its smallest id.  So each linked pair meets in one
+   region, every text is sent to one place, and points that share no cell with
+   any other are done.  Sizes near a level's border are entered at both levels.
 3. Windows.  A region's points are measured against its pivot; those within
    ``eps`` link to it and need no pairs among themselves.  If others remain, the
    region is joined recursively: new pivots split it into Voronoi cells, a point
@@ -339,6 +339,8 @@ def jaccard_components(
         .where("pivot <> node")
         .distinct()
     )
+    # regions that share a point are one, so that every text goes to one place
+    met = components(met, "pivot", "node").select(F.col("component").alias("pivot"), "node").where("pivot <> node")
     met = staged(met, "regions")
     sizes = met.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / max_region).cast("int").alias("blocks"))
     # a region of several blocks is joined block pair by block pair; its pivot goes to each
