@@ -23,6 +23,7 @@ _ROOT = Path(__file__).resolve().parent
 if str(_ROOT) not in sys.path:
     sys.path.insert(0, str(_ROOT))
 
+from gridpulse.operators.words import DEFAULT_STOP_WORDS  # noqa: E402
 from gridpulse.plans import registry  # noqa: E402
 
 try:  # the training-data operators are an optional part
@@ -62,14 +63,14 @@ _MEASURES = [m for m, _ in _MEASURE_TYPES]
 _DEC = "DECIMAL(18,2)"
 
 
-def _long_raw() -> str:
+def _long_raw(grid: str = "user_id", country: str = "user_id % 25") -> str:
     measures = ",\n    ".join(
         f"CASE WHEN event_type = '{t}' THEN CAST(value AS {_DEC}) END AS {m}" for m, t in _MEASURE_TYPES
     )
     return f"""raw AS (
-  SELECT CAST(user_id AS INTEGER) AS gridId,
+  SELECT CAST({grid} AS INTEGER) AS gridId,
     epoch_us(ts) // 1000 AS intervalStart,
-    CAST(user_id % 25 AS INTEGER) AS countryCode,
+    CAST({country} AS INTEGER) AS countryCode,
     {measures}
   FROM events)"""
 
@@ -87,7 +88,11 @@ def _cells_raw() -> str:
   FROM events GROUP BY ALL)"""
 
 
-_RAW = {"long": _long_raw, "cells": _cells_raw}
+def _null_keys_raw() -> str:
+    return _long_raw("CASE WHEN user_id % 11 <> 0 THEN user_id END", "nullif(user_id % 25, 0)")
+
+
+_RAW = {"long": _long_raw, "cells": _cells_raw, "null_keys": _null_keys_raw}
 
 
 def _ts_of(ms: str) -> str:
@@ -99,13 +104,11 @@ def _act(adapter: str, policy: str) -> str:
     """``WITH raw, act``: the prepared frame (all columns, epoch kept)."""
     if policy == "zero":
         measures = ", ".join(f"coalesce({m}, 0) AS {m}" for m in _MEASURES)
-        where = "WHERE gridId IS NOT NULL AND intervalStart IS NOT NULL AND countryCode IS NOT NULL"
     else:
         measures = ", ".join(_MEASURES)
-        where = ""
     total = " + ".join(_MEASURES)
     return f"""WITH {_RAW[adapter]()},
-filled AS (SELECT gridId, intervalStart, countryCode, {measures} FROM raw {where}),
+filled AS (SELECT gridId, intervalStart, countryCode, {measures} FROM raw),
 act AS (
   SELECT gridId, intervalStart, countryCode, {", ".join(_MEASURES)},
     {_ts_of("intervalStart")} AS activityDateTime,
@@ -161,15 +164,15 @@ _GRID_PEAK = """grid_peak AS (
     FROM grid_hourly) WHERE rk = 1)"""
 
 
-def _q_grid_daily_peak_hour() -> str:
-    return f"""{_act("cells", "propagate")},
+def _q_grid_daily_peak_hour(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)},
 {_GRID_HOURLY},
 {_GRID_PEAK}
 SELECT gridId, activityDate, hour, {_dbl("summedActivity")} FROM grid_peak"""
 
 
-def _q_grid_daily_peak_window() -> str:
-    return f"""{_act("cells", "propagate")},
+def _q_grid_daily_peak_window(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)},
 win AS (
   SELECT gridId, activityDate AS date, date_trunc('hour', activityDateTime) AS start,
     sum(totalActivity) AS summedActivity
@@ -183,21 +186,21 @@ def _rank(order: str, part: str = "activityDate") -> str:
     return f"CAST(rank() OVER (PARTITION BY {part} ORDER BY {order} DESC NULLS LAST) AS INTEGER) AS rank"
 
 
-def _q_rank_grids_daily() -> str:
-    return f"""{_act("long", "zero")},
+def _q_rank_grids_daily(adapter: str = "long", policy: str = "zero") -> str:
+    return f"""{_act(adapter, policy)},
 daily AS (SELECT gridId, activityDate, sum(totalActivity) AS totalActivity FROM act GROUP BY ALL)
 SELECT gridId, activityDate, {_dbl("totalActivity")}, {_rank("totalActivity")} FROM daily"""
 
 
-def _q_rank_grids_by_peak_hour() -> str:
-    return f"""{_act("cells", "propagate")},
+def _q_rank_grids_by_peak_hour(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)},
 {_GRID_HOURLY},
 {_GRID_PEAK}
 SELECT gridId, activityDate, hour, {_dbl("summedActivity")}, {_rank("summedActivity")} FROM grid_peak"""
 
 
-def _q_rank_grid_hours() -> str:
-    return f"""{_act("cells", "propagate")},
+def _q_rank_grid_hours(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)},
 {_GRID_HOURLY}
 SELECT gridId, activityDate, hour, {_dbl("summedActivity")}, {_rank("summedActivity")} FROM grid_hourly"""
 
@@ -213,19 +216,19 @@ def _avg(c: str) -> str:
     return f"CAST(sum({c}) AS DOUBLE) / count({c})"
 
 
-def _q_avg_per_grid_day() -> str:
-    return f"""{_act("long", "zero")}
+def _q_avg_per_grid_day(adapter: str = "long", policy: str = "zero") -> str:
+    return f"""{_act(adapter, policy)}
 SELECT gridId, activityDate, {_avg("totalActivity")} AS averageActivity FROM act GROUP BY ALL"""
 
 
-def _q_avg_per_grid_dayofmonth() -> str:
-    return f"""{_act("cells", "propagate")}
+def _q_avg_per_grid_dayofmonth(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)}
 SELECT gridId, CAST(dayofmonth(activityDateTime) AS INTEGER) AS date, {_avg("totalActivity")} AS avgActivity
 FROM act GROUP BY ALL"""
 
 
-def _q_avg_per_grid_week() -> str:
-    return f"""{_act("cells", "propagate")},
+def _q_avg_per_grid_week(adapter: str = "cells", policy: str = "propagate") -> str:
+    return f"""{_act(adapter, policy)},
 wk AS (
   SELECT gridId,
     time_bucket(INTERVAL 7 DAY, CAST(activityDate AS TIMESTAMP), TIMESTAMP '1970-01-01') AS start,
@@ -235,8 +238,8 @@ SELECT gridId, start, start + INTERVAL 7 DAY AS "end", {_avg("totalActivity")} A
 FROM wk GROUP BY gridId, start"""
 
 
-def _q_country_categories() -> str:
-    return f"""{_act("long", "zero")},
+def _q_country_categories(adapter: str = "long", policy: str = "zero") -> str:
+    return f"""{_act(adapter, policy)},
 ct AS (SELECT countryCode, CAST(sum(totalActivity) AS DOUBLE) AS countryActivity FROM act GROUP BY ALL),
 b AS (SELECT min(countryActivity) AS lo, (max(countryActivity) - min(countryActivity)) / 3.0 AS step FROM ct)
 SELECT countryCode, countryActivity,
@@ -291,7 +294,7 @@ def _q_point_lookup() -> str:
     measures = ", ".join(_dbl(m) for m in _MEASURES)
     return f"""{_act("cells", "propagate")}
 SELECT gridId, intervalStart, countryCode, {measures}, activityDateTime, {_dbl("totalActivity")}, activityDate
-FROM act WHERE gridId = 2 AND totalActivity = 1784.12"""
+FROM act WHERE gridId = 2 AND activityDate = DATE '2024-01-15'"""
 
 
 def _q_max_total() -> str:
@@ -341,6 +344,16 @@ def oracle_sql() -> dict[str, str]:
         "avg_per_grid_day": _q_avg_per_grid_day(),
         "avg_per_grid_dayofmonth": _q_avg_per_grid_dayofmonth(),
         "avg_per_grid_week": _q_avg_per_grid_week(),
+        "avg_per_grid_day_propagate": _q_avg_per_grid_day("cells", "propagate"),
+        "grid_daily_peak_hour_long": _q_grid_daily_peak_hour("long", "zero"),
+        "grid_daily_peak_window_long": _q_grid_daily_peak_window("long", "zero"),
+        "rank_grids_by_peak_hour_long": _q_rank_grids_by_peak_hour("long", "zero"),
+        "rank_grid_hours_long": _q_rank_grid_hours("long", "zero"),
+        "avg_per_grid_dayofmonth_long": _q_avg_per_grid_dayofmonth("long", "zero"),
+        "avg_per_grid_week_long": _q_avg_per_grid_week("long", "zero"),
+        "daily_peak_hour_null_keys": _q_daily_peak_hour("null_keys", "zero"),
+        "rank_grids_daily_null_keys": _q_rank_grids_daily("null_keys"),
+        "country_categories_null_keys": _q_country_categories("null_keys"),
         "country_categories": _q_country_categories(),
         "quantile_categories": _q_quantile_categories(),
         "internet_categories": _q_internet_categories(),
@@ -349,6 +362,6 @@ def oracle_sql() -> dict[str, str]:
         "max_total": _q_max_total(),
         "null_key_counts": _q_null_key_counts(),
         "interval_bounds": _q_interval_bounds(),
-        "word_count": _q_word_count("[ ]", ["the"]),
-        "word_count_separators": _q_word_count("[#%?!. ]", ["a", "the", "in", "was", "there", "she", "he"]),
+        "word_count": _q_word_count("[ ]", list(DEFAULT_STOP_WORDS)),
+        "word_count_separators": _q_word_count("[#%?!. ]", list(registry.TEST_STOP_WORDS)),
     }

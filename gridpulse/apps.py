@@ -34,11 +34,11 @@ from gridpulse.sinks import write_by_date, write_json, write_word_counts
 from gridpulse.sources import read_activity, read_lines
 
 REPORT_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "daily_peak_grid": Q.grid_hour_peak_records,
-    "daily_peak_hour": Q.daily_peak_hour,
-    "rank_grid": Q.rank_grids_daily,
-    "avg_activity": Q.average_per_grid_day,
-    "cat_country": Q.country_categories,
+    "busiest_hours": Q.daily_peak_hour,
+    "country_bands": Q.country_categories,
+    "grid_day_means": Q.average_per_grid_day,
+    "grid_ranking": Q.rank_grids_daily,
+    "peak_records": Q.grid_hour_peak_records,
 }
 
 
@@ -49,7 +49,7 @@ def stage_prepared(
     delimiter: str = "\t",
     staging_dir: str | None = None,
     schema: T.StructType = S.ACTIVITY_SCHEMA,
-    cluster: bool = False,
+    cluster: bool = True,
 ) -> DataFrame:
     """Parse and prepare the sources once; return the written table.
 
@@ -62,10 +62,15 @@ def stage_prepared(
             raise ValueError("give staging_dir or set spark.checkpoint.dir")
         target = f"{base.rstrip('/')}/gridpulse-staged-{uuid.uuid4().hex}"
     prepared = prepare_activity(read_activity(spark, source, delimiter, schema), null_policy)
-    write_by_date(prepared, target, cluster=cluster)
+    write_by_date(prepared, target, mode="errorifexists", cluster=cluster)
     return spark.read.parquet(target)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def activity_report(
     spark: SparkSession,
     source: str | list[str],
@@ -76,7 +81,8 @@ def activity_report(
     questions: Mapping[str, Callable[[DataFrame], DataFrame]] = REPORT_QUERIES,
     parallel: int = 1,
     schema: T.StructType = S.ACTIVITY_SCHEMA,
-    cluster_staging: bool = False,
+    cluster_staging: bool = True,
+    keep_staged: bool = False,
 ) -> dict[str, str]:
     """Write each question's answer as JSON lines; return ``name -> path``.
 
@@ -85,10 +91,14 @@ def activity_report(
     cluster under ``spark.scheduler.mode=FAIR``), so small final stages of
     one question overlap with the work of another. ``schema`` may read the
     measures as decimals (``schema.activity_schema(DecimalType(18, 2))``).
+    The staged copy of the input goes to a new folder (an existing
+    ``staging_dir`` is an error) and is removed at the end unless
+    ``keep_staged``.
     """
     out = out_dir.rstrip("/")
-    if staging_dir is None and not checkpoint_dir(spark):
-        staging_dir = f"{out}/_staged"
+    if staging_dir is None:
+        base = checkpoint_dir(spark)
+        staging_dir = f"{base.rstrip('/') if base else out}/gridpulse-staged-{uuid.uuid4().hex}"
     table = stage_prepared(spark, source, null_policy, delimiter, staging_dir, schema, cluster_staging)
     paths = {name: f"{out}/{name}" for name in questions}
 
@@ -107,6 +117,8 @@ def activity_report(
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             for done in [pool.submit(answer, name) for name in questions]:
                 done.result()
+    if not keep_staged:
+        _remove(spark, staging_dir)
     return paths
 
 

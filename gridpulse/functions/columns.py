@@ -55,17 +55,13 @@ def fill_measures(df: DataFrame, value: float = 0.0, measures: tuple[str, ...] =
 
 
 def apply_null_policy(df: DataFrame, null_policy: str = S.ZERO) -> DataFrame:
-    """``zero``: fill the measures with 0 and drop rows whose key failed to parse.
+    """``zero``: fill the measures with 0; ``propagate``: leave them, so that the
+    total of a row with a null measure is null.
 
-    ``propagate``: leave the rows as they are; the total of a row with a null
-    measure is null.
+    Both keep every row: a key that failed to parse stays null and forms its own group.
     """
     S.check_null_policy(null_policy)
-    if null_policy == S.PROPAGATE:
-        return df
-    columns = set(df.columns)
-    keys = [k for k in (S.GRID_ID, S.INTERVAL_START, S.ACTIVITY_START_EPOCH, S.COUNTRY_CODE) if k in columns]
-    return fill_measures(df).dropna(subset=keys)
+    return df if null_policy == S.PROPAGATE else fill_measures(df)
 
 
 def epoch_column(df: DataFrame) -> str:

@@ -28,12 +28,12 @@ _PEAK_MAX = "__peak_max"
 STRATEGIES = ("window", "join")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on ``on`` with null-safe equality; keeps ``left``'s copies."""
+def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``on`` with null-safe equality; keeps ``left``'s copies."""
     lhs, rhs = left.alias("l"), right.alias("r")
     cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
     extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
-    return lhs.join(rhs, cond, "inner").select(*[F.col(f"l.{c}") for c in left.columns], *extra)
+    return lhs.join(rhs, cond, how).select(*[F.col(f"l.{c}") for c in left.columns], *extra)
 
 
 def peak_rows(
@@ -80,8 +80,6 @@ def _peak_rows_by_join(df: DataFrame, keys: list[str], order_by: str) -> DataFra
 
 _BUCKET = "__bucket"
 _BOUNDS = "__bounds"
-_ROWS = "__rows"
-_BEFORE = "__before"
 _BUCKET_ROWS = "__bucket_rows"
 _OFFSET = "__offset"
 _VALUE_RANK = "__value_rank"
@@ -100,17 +98,12 @@ def with_rank(
 
     ``strategy="window"`` (default) ranks each group in one task.
 
-    ``strategy="range"`` is for groups too large for one task. A row's rank
-    is one plus the number of rows of its group with a larger value, so:
-    count each distinct (group, value) (partial aggregate: ties collapse into
-    one row); cut each group's distinct values into ``buckets`` value ranges
-    at approximate quantiles (a deterministic function of the value, so
-    ties share a range); sum the counts of larger values inside each range
-    (a window over distinct values of one range) and of all earlier ranges
-    (a window over at most ``buckets`` rows per group); then join the value
-    ranks back to the rows on (group, value). A heavily repeated value is one
-    join key, which adaptive execution can split. ``buckets`` defaults to the
-    shuffle partition count.
+    ``strategy="range"`` is for groups too large for one task: cut each
+    group's values into ``buckets`` ranges at approximate quantiles (a
+    function of the value, so ties share a range), rank inside each (group,
+    range), and add the number of rows in the ranges of larger values, looked
+    up by group and range number. Every row is kept by construction, and no
+    join compares values. ``buckets`` defaults to the shuffle partition count.
     """
     if not partition_by:
         raise ValueError("with_rank needs at least one partition column")
@@ -125,26 +118,18 @@ def with_rank(
 def _rank_by_ranges(df: DataFrame, keys: list[str], order_by: str, name: str, buckets: int | None) -> DataFrame:
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(order_by)
-    counts = df.groupBy(*keys, order_by).agg(F.count(F.lit(1)).alias(_ROWS))
-    if n > 1:
-        probs = [i / n for i in range(1, n)]
-        bounds = counts.groupBy(*keys).agg(F.percentile_approx(order_by, probs, 10_000).alias(_BOUNDS))
-        counts = _null_safe_join(counts, bounds, keys)
-        # range 0 holds the largest values; nulls sort last
-        bucket = F.when(v.isNull(), F.lit(n)).otherwise(F.size(F.filter(_BOUNDS, lambda b: b > v)))
-    else:
-        bucket = F.when(v.isNull(), F.lit(1)).otherwise(F.lit(0))
-    counts = counts.select(*keys, order_by, _ROWS, bucket.alias(_BUCKET))
-    larger_in_bucket = Window.partitionBy(*keys, _BUCKET).orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, -1)
-    values = counts.withColumn(_BEFORE, F.coalesce(F.sum(_ROWS).over(larger_in_bucket), F.lit(0)))
+    probs = [i / n for i in range(1, n)] or [0.5]
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(order_by, probs, 10_000).alias(_BOUNDS))
+    # range 0 holds the largest values; nulls sort last
+    bucket = F.when(v.isNull(), F.lit(len(probs) + 1)).otherwise(F.coalesce(F.size(F.filter(_BOUNDS, lambda b: b > v)), F.lit(0)))
+    rows = _null_safe_join(df, bounds, keys, "left").withColumn(_BUCKET, bucket).drop(_BOUNDS)
     earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        counts.groupBy(*keys, _BUCKET)
-        .agg(F.sum(_ROWS).alias(_BUCKET_ROWS))
+        rows.groupBy(*keys, _BUCKET)
+        .agg(F.count(F.lit(1)).alias(_BUCKET_ROWS))
         .withColumn(_OFFSET, F.coalesce(F.sum(_BUCKET_ROWS).over(earlier), F.lit(0)))
         .select(*keys, _BUCKET, _OFFSET)
     )
-    ranks = _null_safe_join(values, offsets, [*keys, _BUCKET]).select(
-        *keys, order_by, (F.lit(1) + F.col(_OFFSET) + F.col(_BEFORE)).cast("int").alias(_VALUE_RANK)
-    )
-    return _null_safe_join(df, ranks, [*keys, order_by]).withColumnRenamed(_VALUE_RANK, name)
+    inside = F.rank().over(Window.partitionBy(*keys, _BUCKET).orderBy(v.desc()))
+    ranked = _null_safe_join(rows.withColumn(_VALUE_RANK, inside), offsets, [*keys, _BUCKET], "left")
+    return ranked.withColumn(name, (F.col(_VALUE_RANK) + F.col(_OFFSET)).cast("int")).select(*df.columns, name)

@@ -7,9 +7,9 @@ tokenized: no prefix, sample or cap.
 
 Plan: scan -> explode(normalized split) -> filter -> partial count per task ->
 shuffle on ``word`` -> final count. A frequent word costs one partial row per
-task. A scan with fewer partitions than the cluster's default parallelism (one
-large file, one row group) is spread first so that tokenizing runs in
-parallel; large inputs already have enough splits and are not reshuffled.
+task. Stop words are removed by one anti join; Spark chooses how by their size.
+For input in few splits (one large file, one row group) the caller can name the
+number of ``partitions`` to spread the texts over before tokenizing.
 """
 
 from __future__ import annotations
@@ -25,49 +25,22 @@ from gridpulse.functions.text import normalize_token, normalize_word, separator_
 DEFAULT_SEPARATORS = " "
 DEFAULT_STOP_WORDS = ("the",)
 
-# Beyond this many stop words, filter with an anti join instead of IN; the
-# stop-word table is broadcast up to the second limit, shuffled beyond it.
-_INSET_LIMIT = 50_000
-_BROADCAST_LIMIT = 2_000_000
-
-
-def spread_if_narrow(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-spread rows over the default parallelism when the scan has fewer
-    partitions than that.
-
-    The hash is on a unique row key, so copies of one text do not pile up in
-    one task: ``key`` (a unique id column, which keeps the layout
-    deterministic on a re-run) or else a generated per-row id (which Spark
-    treats as nondeterministic and re-runs whole stages for after a lost
-    shuffle file).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except NotImplementedError:  # sessions without RDD access (Spark Connect)
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, F.col(key) if key else F.monotonically_increasing_id())
-
 
 def word_count(
     lines: DataFrame,
     separators: str = DEFAULT_SEPARATORS,
     stop_words: Iterable[str] = DEFAULT_STOP_WORDS,
     text_col: str = "value",
-    spread: bool = True,
-    spread_key: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``word string, count bigint`` over every line of ``text_col``.
 
-    ``spread_key`` names a unique id column to spread a narrow scan by.
+    ``partitions`` spreads the texts evenly over that many tasks first.
     """
     stops = sorted({normalize_word(w) for w in stop_words})
-    keep = [text_col] + ([spread_key] if spread and spread_key else [])
-    text = lines.select(*keep).withColumnRenamed(text_col, "text")
-    if spread:
-        text = spread_if_narrow(text, spread_key)
+    text = lines.select(F.col(text_col).alias("text"))
+    if partitions:
+        text = text.repartition(partitions)
     # Normalize inside the generator: filters on a generator's output stay
     # above it, so each token is trimmed and lower-cased once. (Normalizing
     # in a projection after the explode lets Catalyst push the filters below
@@ -75,12 +48,8 @@ def word_count(
     tokens = F.transform(F.split("text", separator_pattern(separators)), normalize_token)
     words = text.select(F.explode(tokens).alias("word"))
     words = words.where(F.length("word") > 0)
-    if stops and len(stops) <= _INSET_LIMIT:
-        words = words.where(~F.col("word").isin(stops))
-    elif stops:
+    if stops:
         stop_df = lines.sparkSession.createDataFrame([(w,) for w in stops], "word string")
-        if len(stops) <= _BROADCAST_LIMIT:
-            stop_df = F.broadcast(stop_df)
         words = words.join(stop_df, "word", "left_anti")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 

@@ -80,17 +80,16 @@ def grid_daily_peak_window(prepared: DataFrame, duration: str = "1 hour") -> Dat
     return peaks.select(S.GRID_ID, F.col("window.start").alias("start"), F.col("window.end").alias("end"), S.SUMMED_ACTIVITY)
 
 
-def rank_grids_daily(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
+def rank_grids_daily(prepared: DataFrame, rank_strategy: str = "range") -> DataFrame:
     """Grid cells ranked by their daily total, within each day.
 
-    ``gridId, activityDate, totalActivity, rank``. ``rank_strategy="range"``
-    spreads a day with a huge number of grids over many tasks (see
-    :func:`with_rank`).
+    ``gridId, activityDate, totalActivity, rank``. The default spreads
+    a day over many tasks (see :func:`with_rank`); ``"window"`` ranks it in one.
     """
     return with_rank(A.grid_daily_totals(prepared), [S.ACTIVITY_DATE], S.TOTAL_ACTIVITY, strategy=rank_strategy)
 
 
-def rank_grids_by_peak_hour(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
+def rank_grids_by_peak_hour(prepared: DataFrame, rank_strategy: str = "range") -> DataFrame:
     """Grid cells ranked within each day by the activity of their busiest hour.
 
     ``gridId, activityDate, hour, summedActivity, rank``; a grid with tied peak
@@ -144,10 +143,11 @@ def country_quantile_categories(prepared: DataFrame, buckets: int = 3) -> DataFr
 
 def internet_categories(prepared: DataFrame, buckets: int = 3) -> DataFrame:
     """The distinct internet quantile buckets that occur."""
-    return country_quantile_categories(prepared, buckets).select("internetCategory").distinct()
+    sums = prepared.groupBy(S.COUNTRY_CODE).agg(F.sum(S.INTERNET).alias("internet"))
+    return quantile_categories(sums, {"internet": "internetCategory"}, buckets=buckets).select("internetCategory").distinct()
 
 
-def rank_grid_hours(prepared: DataFrame, rank_strategy: str = "window") -> DataFrame:
+def rank_grid_hours(prepared: DataFrame, rank_strategy: str = "range") -> DataFrame:
     """Every (grid, hour) sum of a day, ranked within that day.
 
     ``gridId, activityDate, hour, summedActivity, rank``.

@@ -7,8 +7,8 @@ query and cast the result for comparison (decimals to double, timestamps
 to zone-less UTC wall-clock time). The word counts read the whole
 ``documents`` table.
 
-The adapters interpret ``events.ts`` as UTC, so every entry pins the session
-time zone to UTC.
+The adapters interpret ``events.ts`` as UTC. The caller's session is left as it
+is: one with another time zone gets a sibling session in UTC for the query.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import prepare_activity
 from gridpulse.operators.lookup import null_key_counts, point_lookup
-from gridpulse.operators.partitioning import dated_records, partition_by_date
+from gridpulse.operators.partitioning import dated_records, hash_partition_by_date
 from gridpulse.operators.words import word_count
 from gridpulse.plans import queries as Q
 from gridpulse.sources.events import events_as_activity, events_as_cells, read_events
@@ -35,7 +36,7 @@ TEST_STOP_WORDS = ("a", "the", "in", "was", "there", "she", "he")
 
 # The point lookup and the one-grid-one-day ranking parameters.
 LOOKUP_GRID = 2
-LOOKUP_TOTAL = 1784.12
+LOOKUP_DAY = _dt.date(2024, 1, 15)
 RANKING_GRID = 2
 RANKING_DAY = _dt.date(2024, 1, 15)
 
@@ -55,21 +56,36 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.selectExpr(*[cast(f) for f in df.schema.fields])
 
 
-def _utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def _utc(spark: SparkSession) -> SparkSession:
+    """The session itself if its time zone is UTC, else a sibling in UTC."""
+    zone = "spark.sql.session.timeZone"
+    if spark.conf.get(zone) in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        return spark
+    sibling = spark.newSession()
+    sibling.conf.set(zone, "UTC")
+    return sibling
 
 
 def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
-    return events_as_activity(read_events(spark, sf_dir))
+    return events_as_activity(read_events(_utc(spark), sf_dir))
 
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
-    return events_as_cells(read_events(spark, sf_dir))
+    return events_as_cells(read_events(_utc(spark), sf_dir))
 
 
-_ADAPTERS = {"long": raw_long, "cells": raw_cells}
+def raw_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``long`` records, with the keys of some lost (as after malformed input)."""
+    raw = raw_long(spark, sf_dir)
+    return raw.withColumns(
+        {
+            S.COUNTRY_CODE: F.nullif(F.col(S.COUNTRY_CODE), F.lit(0)),
+            S.GRID_ID: F.when(F.col(S.GRID_ID) % 11 != 0, F.col(S.GRID_ID)),
+        }
+    )
+
+
+_ADAPTERS = {"long": raw_long, "cells": raw_cells, "null_keys": raw_null_keys}
 
 
 def _activity(
@@ -97,23 +113,23 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(_documents(spark, sf_dir), text_col="text", spread_key="doc_id")
+    return word_count(_documents(spark, sf_dir), text_col="text")
 
 
 def word_count_test_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(
-        _documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text", spread_key="doc_id"
+        _documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text"
     )
 
 
 def activity_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_long(spark, sf_dir)
-    return comparable(partition_by_date(dated_records(raw, epoch_col=S.INTERVAL_START)))
+    return comparable(hash_partition_by_date(dated_records(raw, epoch_col=S.INTERVAL_START), spread=16))
 
 
 def point_lookup_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepare_activity(raw_cells(spark, sf_dir), S.PROPAGATE, drop_epoch=False)
-    return comparable(point_lookup(prepared, **{S.GRID_ID: LOOKUP_GRID, S.TOTAL_ACTIVITY: LOOKUP_TOTAL}))
+    return comparable(point_lookup(prepared, **{S.GRID_ID: LOOKUP_GRID, S.ACTIVITY_DATE: LOOKUP_DAY}))
 
 
 def grid_day_hour_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +164,18 @@ QUERIES: dict[str, QueryFn] = {
     "avg_per_grid_day": _activity(Q.average_per_grid_day, "long", S.ZERO),
     "avg_per_grid_dayofmonth": _activity(Q.average_per_grid_day_of_month, "cells", S.PROPAGATE),
     "avg_per_grid_week": _activity(Q.average_per_grid_window, "cells", S.PROPAGATE),
+    "avg_per_grid_day_propagate": _activity(Q.average_per_grid_day, "cells", S.PROPAGATE),
+    # the same on one record per event, whose results grow with the table
+    "grid_daily_peak_hour_long": _activity(Q.grid_daily_peak_hour, "long", S.ZERO),
+    "grid_daily_peak_window_long": _activity(Q.grid_daily_peak_window, "long", S.ZERO),
+    "rank_grids_by_peak_hour_long": _activity(Q.rank_grids_by_peak_hour, "long", S.ZERO),
+    "rank_grid_hours_long": _activity(Q.rank_grid_hours, "long", S.ZERO),
+    "avg_per_grid_dayofmonth_long": _activity(Q.average_per_grid_day_of_month, "long", S.ZERO),
+    "avg_per_grid_week_long": _activity(Q.average_per_grid_window, "long", S.ZERO),
+    # records whose keys did not parse
+    "daily_peak_hour_null_keys": _activity(Q.daily_peak_hour, "null_keys", S.ZERO),
+    "rank_grids_daily_null_keys": _activity(Q.rank_grids_daily, "null_keys", S.ZERO),
+    "country_categories_null_keys": _activity(Q.country_categories, "null_keys", S.ZERO),
     # categories
     "country_categories": _activity(Q.country_categories, "long", S.ZERO),
     "quantile_categories": _activity(Q.country_quantile_categories, "long", S.ZERO),

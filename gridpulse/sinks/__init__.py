@@ -1,45 +1,21 @@
 """Sinks: JSON lines, tuple text lines, date-partitioned Parquet, console preview.
 
-Writes are distributed: every task writes its own part file. A single output
-file (``single_file=True``) funnels the result through one task, so it is
-allowed only for results whose row count has been checked against
-``max_single_file_rows``.
+Writes are distributed: every task writes its own part file. One output file is
+not offered: it would send the whole result through one task.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import activity_date
 from gridpulse.operators.words import format_counts
 
-MAX_SINGLE_FILE_ROWS = 5_000_000
 
-
-def write_json(
-    df: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    single_file: bool = False,
-    max_single_file_rows: int = MAX_SINGLE_FILE_ROWS,
-) -> None:
-    """JSON lines (null fields are omitted). ``single_file`` merges the output
-    into one part file after checking the row count."""
-    if not single_file:
-        df.write.mode(mode).json(path)
-        return
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = kept.count()
-        if n > max_single_file_rows:
-            raise ValueError(
-                f"{n} rows is too many for one output file (limit {max_single_file_rows}); write without single_file"
-            )
-        kept.coalesce(1).write.mode(mode).json(path)
-    finally:
-        kept.unpersist()
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON lines (null fields are omitted), one part file per task."""
+    df.write.mode(mode).json(path)
 
 
 def write_word_counts(counts: DataFrame, path: str) -> None:
@@ -51,7 +27,7 @@ def dated_for_write(
     df: DataFrame,
     ts: str = S.ACTIVITY_DATE_TIME,
     date_col: str = S.ACTIVITY_DATE,
-    cluster: bool = False,
+    cluster: bool = True,
 ) -> DataFrame:
     """The frame ``write_by_date`` writes: ``df`` with its date column, and
     with a ``REBALANCE`` on the date when ``cluster`` is set."""
@@ -65,15 +41,14 @@ def write_by_date(
     ts: str = S.ACTIVITY_DATE_TIME,
     mode: str = "overwrite",
     date_col: str = S.ACTIVITY_DATE,
-    cluster: bool = False,
+    cluster: bool = True,
 ) -> None:
     """Parquet partitioned into one directory per date; later filters on the
     date prune whole directories.
 
-    By default rows are not shuffled: each task writes the dates it holds,
-    which suits input already laid out by time (one file per day). For input
-    in no time order, ``cluster=True`` adds a ``REBALANCE`` on the date:
-    rows are clustered by date, and adaptive execution splits the partition
+    ``cluster=False`` shuffles nothing: each task writes the dates it holds,
+    which suits input already laid out by time (one file per day). The default
+    adds a ``REBALANCE`` on the date: rows are clustered by date, and adaptive execution splits the partition
     of a busy date and merges small ones, so each date gets a few files of
     about the advisory size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
     instead of one small file per task.
@@ -86,4 +61,4 @@ def preview(df: DataFrame, n: int = 10, truncate: bool | int = True) -> None:
     df.show(n, truncate)
 
 
-__all__ = ["MAX_SINGLE_FILE_ROWS", "dated_for_write", "preview", "write_by_date", "write_json", "write_word_counts"]
+__all__ = ["dated_for_write", "preview", "write_by_date", "write_json", "write_word_counts"]

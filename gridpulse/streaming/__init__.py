@@ -36,14 +36,15 @@ def read_activity_stream(
 
 def grid_window_totals_stream(
     raw_stream: DataFrame,
-    null_policy: str = S.PROPAGATE,
+    watermark: str,
+    null_policy: str = S.ZERO,
     duration: str = "1 hour",
-    watermark: str = "2 hours",
     keys: tuple[str, ...] = (S.GRID_ID,),
 ) -> DataFrame:
     """``<keys>, start, end, summedActivity`` per tumbling window, updated as
     records arrive (``keys=()`` gives network-wide totals). With output mode
-    ``append`` a window is emitted once the watermark passes its end."""
+    ``append`` a window is emitted once the watermark passes its end; records
+    later than ``watermark`` are discarded, so the caller has to choose it."""
     prepared = prepare_activity(raw_stream, null_policy)
     sums = (
         prepared.withWatermark(S.ACTIVITY_DATE_TIME, watermark)

@@ -39,9 +39,9 @@ def test_report_matches_direct_queries(spark, scratch):
         key = lambda r: json.dumps(r, sort_keys=True)
         assert sorted(got, key=key) == sorted(want, key=key), name
         assert sorted(_json_rows(together / name), key=key) == sorted(want, key=key), name
-    peak = _json_rows(out / "daily_peak_hour")
+    peak = _json_rows(out / "busiest_hours")
     assert sorted((r[S.ACTIVITY_DATE], r[S.HOUR]) for r in peak) == [("2013-11-01", 17), ("2013-11-02", 17)]
-    assert len(_json_rows(out / "cat_country")) == 3
+    assert len(_json_rows(out / "country_bands")) == 3
 
 
 def test_word_count_job(spark, scratch):
@@ -90,4 +90,4 @@ def test_report_on_delimited_export_of_the_test_table(spark, scratch):
     for name, fn in REPORT_QUERIES.items():
         want = [json.loads(x) for x in fn(direct).toJSON().collect()]
         assert sorted(_json_rows(out / name), key=key) == sorted(want, key=key), name
-    assert S.TOTAL_ACTIVITY in _json_rows(out / "daily_peak_grid")[0]
+    assert S.TOTAL_ACTIVITY in _json_rows(out / "peak_records")[0]

@@ -86,7 +86,7 @@ def test_hot_aggregate_key_is_combined_before_the_shuffle(spark):
 def test_frequent_word_is_combined_before_the_shuffle(spark):
     lines = spark.createDataFrame([("the cat sat on a mat " * 50,)] * 400, "value string").repartition(TASKS).cache()
     lines.count()
-    counts = word_count(lines, stop_words=(), spread=False)
+    counts = word_count(lines, stop_words=(), partitions=None)
     assert _shuffled_records(counts) <= 6 * TASKS  # six distinct words per task
     assert {r.word: r["count"] for r in counts.collect()}["cat"] == 50 * 400
     lines.unpersist()

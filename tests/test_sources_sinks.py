@@ -69,15 +69,6 @@ def test_json_sink_omits_null_fields(spark, scratch):
     write_json(df, out)  # overwrite is allowed
 
 
-def test_json_single_file_is_size_checked(spark, scratch):
-    df = spark.range(10).repartition(4)
-    out = scratch / "one.json"
-    write_json(df, str(out), single_file=True)
-    assert len(list(out.glob("part-*"))) == 1
-    with pytest.raises(ValueError):
-        write_json(df, str(scratch / "big.json"), single_file=True, max_single_file_rows=5)
-
-
 def test_word_count_text_sink_refuses_existing_path(spark, scratch):
     lines = read_lines(spark, _tsv(scratch / "in.txt", ["b a b"]))
     counts = word_count(lines, stop_words=())

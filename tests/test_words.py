@@ -1,9 +1,10 @@
-"""Word count: the five assertions of the reference's own test, plus edge cases."""
+"""Word count: separators, stop words and edge cases."""
 
 from __future__ import annotations
 
 from gridpulse.functions.text import separator_pattern
 from gridpulse.operators.words import DEFAULT_STOP_WORDS, word_count
+from gridpulse.plans.registry import TEST_SEPARATORS, TEST_STOP_WORDS
 
 
 def _counts(spark, lines, **kw):
@@ -11,15 +12,14 @@ def _counts(spark, lines, **kw):
     return {r.word: r["count"] for r in word_count(df, **kw).collect()}
 
 
-def test_reference_case(spark):
-    lines = ["How happy was the panda? You ask.", "Panda is the most happy panda in all the#!?ing land!"]
-    stop_words = {"a", "the", "in", "was", "there", "she", "he"}
-    counts = _counts(spark, lines, separators="#%?!. ", stop_words=stop_words)
-    assert "the" not in counts
-    assert "?" not in counts
-    assert "#!?ing" not in counts
-    assert "ing" in counts
-    assert counts["panda"] == 3
+# Input of the word-count test case.
+LINES = ["How happy was the panda? You ask.", "Panda is the most happy panda in all the#!?ing land!"]
+
+
+def test_separators_and_stop_words(spark):
+    counts = _counts(spark, LINES, separators=TEST_SEPARATORS, stop_words=TEST_STOP_WORDS)
+    once = dict.fromkeys(["all", "ask", "how", "ing", "is", "land", "most", "you"], 1)
+    assert counts == once | {"happy": 2, "panda": 3}
 
 
 def test_defaults_split_on_space_and_drop_the(spark):
@@ -45,27 +45,27 @@ def test_null_and_empty_lines(spark):
     assert {r.word: r["count"] for r in word_count(df).collect()} == {"x": 2}
 
 
-def test_large_stop_list_uses_anti_join(spark):
-    from gridpulse.operators import words
-
-    many = [f"w{i}" for i in range(words._INSET_LIMIT + 1)] + ["drop"]
-    counts = _counts(spark, ["keep drop w3 keep"], stop_words=many)
-    assert counts == {"keep": 2}
-
-
 def test_whole_long_text_is_counted(spark):
     text = " ".join(["tok"] * 20000 + ["end"])
     counts = _counts(spark, [text])
     assert counts == {"tok": 20000, "end": 1}
 
 
-def test_huge_stop_list_is_not_broadcast(spark, monkeypatch):
-    from gridpulse.operators import words
+def test_long_stop_list(spark):
+    counts = _counts(spark, ["keep drop w3 keep"], stop_words=[f"w{i}" for i in range(50_001)] + ["drop"])
+    assert counts == {"keep": 2}
+
+
+def test_building_the_plan_starts_no_job(spark):
+    grouped = spark.range(1000).selectExpr("cast(id % 7 as string) word").groupBy("word").count()
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    df = word_count(grouped, text_col="word", partitions=3)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert df.count() == 7
+
 
-    monkeypatch.setattr(words, "_INSET_LIMIT", 2)
-    monkeypatch.setattr(words, "_BROADCAST_LIMIT", 3)
-    df = spark.createDataFrame([("keep drop w1 w2 keep",)], "value string")
-    out = word_count(df, stop_words=["drop", "w1", "w2", "w3"])
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower()
-    assert {r.word: r["count"] for r in out.collect()} == {"keep": 2}
+def test_text_column_names_do_not_clash(spark):
+    df = spark.createDataFrame([("a b a", "x", 1)], "text string, word string, count int")
+    assert {r.word: r["count"] for r in word_count(df, text_col="text").collect()} == {"a": 2, "b": 1}
+    assert {r.word: r["count"] for r in word_count(df, text_col="word").collect()} == {"x": 1}
