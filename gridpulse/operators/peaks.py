@@ -116,9 +116,10 @@ def with_rank(
 
 
 def _rank_by_ranges(df: DataFrame, keys: list[str], order_by: str, name: str, buckets: int | None) -> DataFrame:
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # four ranges a task even out the tasks' sizes
+    n = 4 * (buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     v = F.col(order_by)
-    probs = [i / n for i in range(1, n)] or [0.5]
+    probs = [i / n for i in range(1, n)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(order_by, probs, 10_000).alias(_BOUNDS))
     # range 0 holds the largest values; nulls sort last
     bucket = F.when(v.isNull(), F.lit(len(probs) + 1)).otherwise(F.coalesce(F.size(F.filter(_BOUNDS, lambda b: b > v)), F.lit(0)))
@@ -132,4 +133,4 @@ def _rank_by_ranges(df: DataFrame, keys: list[str], order_by: str, name: str, bu
     )
     inside = F.rank().over(Window.partitionBy(*keys, _BUCKET).orderBy(v.desc()))
     ranked = _null_safe_join(rows.withColumn(_VALUE_RANK, inside), offsets, [*keys, _BUCKET], "left")
-    return ranked.withColumn(name, (F.col(_VALUE_RANK) + F.col(_OFFSET)).cast("int")).select(*df.columns, name)
+    return ranked.withColumn(name, (F.col(_VALUE_RANK) + F.coalesce(_OFFSET, F.lit(0))).cast("int")).select(*df.columns, name)

@@ -62,12 +62,10 @@ def test_nan_measure_becomes_zero_under_zero_fill(activity):
     assert math.isnan(prepare_activity(df, S.PROPAGATE).collect()[0][S.TOTAL_ACTIVITY])
 
 
-def test_zero_fill_leaves_keys_and_drops_unparsed_keys(activity):
+def test_both_policies_keep_rows_with_unparsed_keys(activity):
     df = activity([rec(None, epoch_ms(2013, 11, 1), internet=1.0), rec(7, None, internet=1.0), rec(7, epoch_ms(2013, 11, 1))])
-    zero = prepare_activity(df, S.ZERO).collect()
-    assert [r[S.GRID_ID] for r in zero] == [7]
-    # the propagate policy keeps rows as they are
-    assert prepare_activity(df, S.PROPAGATE).count() == 3
+    for policy in S.NULL_POLICIES:
+        assert sorted(map(str, (r[S.GRID_ID] for r in prepare_activity(df, policy).collect()))) == ["7", "7", "None"]
 
 
 def test_bad_policy_rejected(activity):

@@ -43,7 +43,7 @@ def test_scan_reads_only_needed_columns(spark):
     prepared = prepare_activity(R.raw_long(spark, SF_SMALL))
     plan = _plan(Q.daily_peak_hour(prepared))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in scan
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in scan
     assert "props" not in scan and "event_id" not in scan
 
 
@@ -73,10 +73,37 @@ def test_category_bounds_reuse_the_country_aggregate(spark):
     assert "ReusedExchange" in plan and "ReusedSubquery" in plan
 
 
-def test_date_layout_is_range_partitioned(spark):
-    df = R.QUERIES["activity_by_date"](spark, SF_SMALL)
-    plan = _plan(df)
-    assert "rangepartitioning(" in plan
+def test_date_layout_is_one_hash_exchange_on_date_and_sub_key(spark):
+    plan = _plan(R.QUERIES["activity_by_date"](spark, SF_SMALL))
+    assert "rangepartitioning(" not in plan and plan.count("Exchange hashpartitioning(") == 1
+    assert "xxhash64" in plan
+
+
+def test_internet_categories_scan_once(spark):
+    df = R.QUERIES["internet_categories"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 1
+
+
+def test_queries_leave_the_session_time_zone(spark):
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "Europe/Rome")
+    try:
+        rome = [sorted(map(str, q(spark, SF_SMALL).collect())) for q in (R.QUERIES["daily_peak_hour"], R.QUERIES["interval_bounds"])]
+        for name in R.QUERIES:
+            R.QUERIES[name](spark, SF_SMALL)
+        assert spark.conf.get(zone) == "Europe/Rome"
+    finally:
+        spark.conf.set(zone, before)
+    assert rome == [sorted(map(str, q(spark, SF_SMALL).collect())) for q in (R.QUERIES["daily_peak_hour"], R.QUERIES["interval_bounds"])]
+
+
+def test_point_lookup_hits_at_every_scale(spark):
+    for sf in ("0.001", "0.01", "0.1"):
+        assert R.QUERIES["point_lookup"](spark, f"/root/testdata/sf{sf}").count() > 0
 
 
 def test_date_filter_prunes_the_staged_table(spark, scratch):
@@ -106,5 +133,5 @@ def test_clustered_write_rebalances_by_date(spark):
     prepared = prepare_activity(R.raw_long(spark, SF_SMALL))
     plan = dated_for_write(prepared, cluster=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions [activityDate" in plan
-    plain = dated_for_write(prepared)._jdf.queryExecution().optimizedPlan().toString()
+    plain = dated_for_write(prepared, cluster=False)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" not in plain
