@@ -2,7 +2,10 @@
 
 Each page becomes a tree of elements.  Parts that HTML itself names as
 furniture (navigation, headers, footers, sidebars, forms, scripts, comment and
-advert boxes, links' menus) are cut first.  For every remaining node
+advert boxes, links' menus) are cut: elements and hidden parts at once, what only
+a class, id or role names if it does not hold the node of the highest density sum
+and its own sum is low or its share of the text small.  Captions stay.  For every
+remaining node
 
     density = C / T * log_base(C / LC' * T / LT'),
     base    = ln(C / NLC' * LC + LCB / CB' * C + e),
@@ -37,7 +40,7 @@ INLINE = set(
 )
 DROPPED = set(
     "nav header footer aside form script style noscript template iframe object button select textarea input dialog menu "
-    "svg canvas audio video head title figcaption".split()
+    "svg canvas audio video head title".split()
 )
 RAW = set("script style textarea title noscript iframe template".split())
 CLOSES_P = set(
@@ -46,15 +49,18 @@ CLOSES_P = set(
 )
 SAME_CLOSES = {"li": {"ul", "ol", "menu"}, "option": {"select"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}, "dt": {"dl"}, "dd": {"dl"}}
 
-#: Words of class, id and role values that name furniture.
+#: Class, id and role tokens that name furniture, whole but for a place before or a part behind.
 _FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|header|"
+    r"(?:^|\s)(?:(?:site|page|global|main|top|bottom|left|right|post|article)[_-])?(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|header|"
     r"masthead|comments?|replies|reply|respond|disqus|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
     r"subscription|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|widget|pagination|pager|login|search|toolbar|"
-    r"complementary|contentinfo|navigation|disclaimer|copyright|skip|hidden)(?:$|[\s_-])",
+    r"complementary|contentinfo|navigation|disclaimer|copyright|skip|hidden)"
+    r"(?:[_-](?:list|box|bar|area|links?|buttons?|items?|block|form|menu|section|container|wrapper|inner|body|text))?(?=$|\s)",
     re.I,
 )
-_KEPT = {"html", "body", "article", "main"}
+_KEPT = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: Share of the page's text from which an element is no furniture for its name alone.
+SHARE = 0.5
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(>|\Z)",
@@ -64,16 +70,18 @@ _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "named")
 
     def __init__(self, tag: str, parent: "Node | None") -> None:
         self.tag, self.parent = tag, parent
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.named = False  # furniture by class, id or role
 
 
 def _furniture(tag: str, attributes: str) -> bool:
+    """Whether the element itself, or that it is hidden, makes it furniture."""
     if tag in DROPPED:
         return True
     if not attributes or tag in _KEPT:
@@ -82,16 +90,20 @@ def _furniture(tag: str, attributes: str) -> bool:
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none", value, re.I):
-                return True
-        elif _FURNITURE.search(value):
+        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
     return False
 
 
+def _named(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role names the element as furniture."""
+    if not attributes or tag in _KEPT:
+        return False
+    return any(m[1].lower() in ("class", "id", "role") and _FURNITURE.search(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attributes))
+
+
 def parse(page: str) -> Node:
-    """The tree of a page, without furniture."""
+    """The tree of a page, without furniture elements and hidden parts."""
     root = Node("html", None)
     here, at, size = root, 0, len(page)
     cut: Node | None = None  # outermost furniture that is open
@@ -146,6 +158,7 @@ def parse(page: str) -> Node:
         if cut is None and _furniture(tag, m[3]):
             cut = node
             here.children.pop()
+        node.named = cut is None and _named(tag, m[3])
         here = node
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(page, at)
@@ -193,6 +206,8 @@ def _measure(root: Node) -> list[Node]:
         order.append(node)
         stack += [c for c in node.children if isinstance(c, Node)]
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = 0.0
         for c in node.children:
             if isinstance(c, str):
                 node.chars += len("".join(c.split()))
@@ -215,12 +230,31 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
+def _densest(root: Node, order: list[Node]) -> Node:
+    best = max(order, key=lambda n: n.total)
+    return best if best.total > 0 else root
+
+
+def _cut_named(root: Node, order: list[Node]) -> None:
+    """Cut named furniture unless it holds the densest node, or much of the text at a high density sum."""
+    node: Node | None = _densest(root, order)
+    threshold, path = node.density, set()
+    while node is not None:
+        threshold = min(threshold, node.density)
+        path.add(node)
+        node = node.parent
+    cut = {n for n in order if n.named and n not in path and (n.total < threshold or n.chars < SHARE * root.chars)}
+    for parent in {n.parent for n in cut}:
+        parent.children = [c for c in parent.children if c not in cut]
+
+
 def _main(root: Node) -> tuple[Node, float]:
     """The node that holds the article, and the density threshold of its path."""
     order = _measure(root)
-    best = max(order, key=lambda n: n.total)
-    if best.total <= 0:
-        best = root
+    if any(n.named for n in order):
+        _cut_named(root, order)
+        order = _measure(root)
+    best = _densest(root, order)
     node = best
     while node is not None:  # an element that the page itself calls the article
         if node.tag in ("article", "main"):

@@ -313,6 +313,17 @@ def test_html_cases(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A paragraph of the article, with enough words to be read as its text, and then some more. "
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "page with-sidebar", "post has-comments", "entry hidden-xs", "widget"])
+def test_html_wrappers_named_like_furniture(name):
+    article = f"<h2 class='section-header'>Part</h2><p>{LONG}</p><p>{LONG}</p><figure><figcaption>Caption</figcaption></figure><p>{LONG}</p>"
+    page = f"<body><div class='menu'><a href=x>m</a></div><div class='{name}'><div>{article}</div></div><div class='footer'>F</div></body>"
+    text = LONG.strip()
+    assert html_text.main_text(page) == f"Part {text} {text} Caption {text}"
+
+
 def test_html_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string, text int, n_chars string")
     assert html_text.extract(df).count() == 0
