@@ -368,6 +368,21 @@ def test_pii_redaction(spark):
     assert pii.spans(empty(spark), pii.fit(empty(spark))).count() == 0
 
 
+def test_pii_finds_forms_that_the_base_patterns_miss(spark):
+    rows = []
+    for i in range(300):
+        phone = f"{20 + i % 70} {300 + i} {4000 + 7 * i}"
+        text = f"write to me at user{i}@mail{i}.example.com or call +{phone} when you can; order {10**9 + 7919 * i} of 2021-03-1{i % 10} 11"
+        if i % 10 == 0:
+            text = f"write to me at user{i} (at) mail{i} (dot) example (dot) com or call {phone} when you can; order {10**9 + 7919 * i}"
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.spans(df, pii.fit(df))
+    out = {r.doc_id: r.out for r in found.select("doc_id", pii.redact(F.col("text"), F.col("pii_spans")).alias("out")).collect()}
+    for i, _ in rows:
+        assert out[i].startswith("write to me at [EMAIL] or call [PHONE] when you can; order 1"), out[i]
+
+
 def test_boosting_and_calibration():
     blank = {f: 0 for f in pii.FEATURES}
     rows = [blank | {"digits": d, "hint": p} for d in range(4, 20) for p in (0, 1)] * 4
