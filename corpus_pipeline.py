@@ -10,6 +10,8 @@ the largest.
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of equal texts."""
-    kept = exact_dedup.exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(docs.columns)
+    """Keep one row of each group of equal texts; of rows equal in id and text, any one."""
+    kept = exact_dedup.exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    kept = staged(kept.agg(F.count("*").alias("kept_rows")), "kept-copies")
+    body = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    keyed = docs.withColumn("kept_digest", F.unhex(F.sha2(body.cast("binary"), 256)))
+    same = keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed["kept_digest"] == kept["kept_digest"])
+    rows = keyed.join(kept, same).drop(kept["kept_digest"])
+    # only repeated rows are brought together, after a partial aggregate
+    repeated = rows.where("kept_rows > 1").dropDuplicates(["kept_id", "kept_digest"])
+    return rows.where("kept_rows = 1").union(repeated).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

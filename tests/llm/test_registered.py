@@ -70,6 +70,13 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed} == before.keys()
 
 
+def test_exact_stage_keeps_one_row_of_repeated_rows_and_null_ids(spark):
+    rows = [(1, "a"), (1, "a"), (2, "A"), (2, "A"), (3, "b"), (3, "c"), (4, "b"), (None, "d"), (None, "d"), (None, "a"), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.drop_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "d"), (2, "A"), (3, "c"), (4, "b"), (5, "")]
+
+
 def test_stages_on_an_empty_table(spark):
     docs = table(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
