@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_are_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
