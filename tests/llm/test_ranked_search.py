@@ -86,11 +86,11 @@ def test_scores_beyond_doubles_stay_exact():
 
 
 def mined(rows, positives=5, negatives=10):
-    kept = [
-        (i, label, [math.floor(256 * float(x)) for x in v])
+    kept = dict.fromkeys(
+        (i, label, tuple(math.floor(256 * float(x)) for x in v))
         for i, label, v in rows
-        if i is not None and label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
-    ]
+        if i is not None and label is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    )
     out = []
     for a, label, q in kept:
         if a % 10 == 0:
@@ -111,6 +111,7 @@ def vectors(seed=1, n=300, dims=6):
     same = rows[17][2]
     rows += [(1000 + i, i % 2, same) for i in range(90)]  # copies
     rows += [(2000, None, same), (2010, 1, None), (2020, 1, [1.0, None, 0.0]), (2030, 1, [float("nan")] * dims), (None, 1, same)]
+    rows += [(1000 + i, i % 2, same) for i in range(0, 90, 7)] + [(30, 2, same), (30, 1, rows[8][2])]  # repeated rows and ids
     rows += [(2040, 1, [0.0] * dims), (2050, 2, [1.0, 2.0]), (2051, 2, [2.0, 1.0]), (2052, 0, [0.5, 0.6]), (2060, 1, [])]
     return rows
 
@@ -131,7 +132,7 @@ def test_coordinate_ranges_lose_no_row():
     for _ in range(60):
         dims = int(rng.integers(1, 7))
         matrix = np.floor(rng.normal(size=(200, dims)) * rng.choice([3, 256], size=(200, 1)))
-        bucket = hard_negatives.Bucket.of(np.arange(200), np.zeros(200, dtype=np.int64), matrix)
+        bucket = hard_negatives.Bucket.of([(row.tobytes(), 0, [i]) for i, row in enumerate(matrix)])
         for q in np.floor(rng.normal(size=(10, dims)) * 256):
             scores = (matrix @ q).astype(int)
             for lo in (int(np.quantile(scores, 0.9)), int(scores.max()), int(scores.max()) + 1, 0, -5):
@@ -142,7 +143,7 @@ def test_coordinate_ranges_lose_no_row():
 def test_coordinate_ranges_prune():
     rng = np.random.default_rng(6)
     matrix = np.floor(rng.normal(size=(2000, 8)) * 256)
-    bucket = hard_negatives.Bucket.of(np.arange(2000), np.zeros(2000, dtype=np.int64), matrix)
+    bucket = hard_negatives.Bucket.of([(row.tobytes(), 0, [i]) for i, row in enumerate(matrix)])
     q = matrix[0]
     rows = bucket.candidates(q, float(np.linalg.norm(q)), int(0.9 * np.linalg.norm(q) * bucket.high))
     assert len(rows) < 400
