@@ -63,7 +63,7 @@ _MEASURES = [m for m, _ in _MEASURE_TYPES]
 _DEC = "DECIMAL(18,2)"
 
 
-def _long_raw(grid: str = "user_id", country: str = "user_id % 25") -> str:
+def _long_raw(grid: str = "user_id", country: str = "user_id % 25", events: str = "events") -> str:
     measures = ",\n    ".join(
         f"CASE WHEN event_type = '{t}' THEN CAST(value AS {_DEC}) END AS {m}" for m, t in _MEASURE_TYPES
     )
@@ -72,7 +72,7 @@ def _long_raw(grid: str = "user_id", country: str = "user_id % 25") -> str:
     epoch_us(ts) // 1000 AS intervalStart,
     CAST({country} AS INTEGER) AS countryCode,
     {measures}
-  FROM events)"""
+  FROM {events})"""
 
 
 def _cells_raw() -> str:
@@ -92,7 +92,13 @@ def _null_keys_raw() -> str:
     return _long_raw("CASE WHEN user_id % 11 <> 0 THEN user_id END", "nullif(user_id % 25, 0)")
 
 
-_RAW = {"long": _long_raw, "cells": _cells_raw, "null_keys": _null_keys_raw}
+def _tied_raw() -> str:
+    moved = {"user_id": registry.TIED_GRID, "ts": f"TIMESTAMP '{registry.TIED_TIME}'", "event_type": "'click'", "value": 1.0}
+    columns = ", ".join(f"CASE WHEN event_id % 3 = 0 THEN {v} ELSE {c} END AS {c}" for c, v in moved.items())
+    return _long_raw(events=f"(SELECT {columns} FROM events)")
+
+
+_RAW = {"long": _long_raw, "cells": _cells_raw, "null_keys": _null_keys_raw, "tied": _tied_raw}
 
 
 def _ts_of(ms: str) -> str:
@@ -140,8 +146,8 @@ SELECT date, hour, {_dbl("hourlyTotalActivity")} FROM (
 WHERE hourlyTotalActivity = mx"""
 
 
-def _q_grid_hour_peak_records() -> str:
-    return f"""{_act("long", "zero")},
+def _q_grid_hour_peak_records(adapter: str = "long") -> str:
+    return f"""{_act(adapter, "zero")},
 rows AS (SELECT gridId, activityDate, {_HOUR} AS hour, totalActivity FROM act)
 SELECT gridId, activityDate, hour, {_dbl("totalActivity")} FROM (
   SELECT *, max(totalActivity) OVER (PARTITION BY gridId, activityDate, hour) AS mx FROM rows)
@@ -250,32 +256,30 @@ SELECT countryCode, countryActivity,
 FROM ct, b"""
 
 
-def _quantile_sums() -> str:
+def _quantile_sums(key: str = "countryCode", buckets: int = 3) -> str:
+    columns = ("sms", "call", "internet")
+    splits = ", ".join(
+        f"quantile_disc({c}, CAST({i} AS DOUBLE) / {buckets}) AS {c}_q{i}" for c in columns for i in range(1, buckets)
+    )
+
+    def bucket(c: str) -> str:
+        steps = [f"CASE WHEN {c}_q1 <= {c} THEN 1 ELSE 0 END"]
+        steps += [f"CASE WHEN {c}_q{i} <= {c} AND {c}_q{i} <> {c}_q{i - 1} THEN 1 ELSE 0 END" for i in range(2, buckets)]
+        return f"CASE WHEN {c} IS NULL THEN NULL ELSE CAST({' + '.join(steps)} AS DOUBLE) END AS {c}Category"
+
     return f"""{_act("long", "zero")},
 ct AS (
-  SELECT countryCode,
+  SELECT {key},
     CAST(sum(smsIn + smsOut) AS DOUBLE) AS sms,
     CAST(sum(callIn + callOut) AS DOUBLE) AS call,
     CAST(sum(internet) AS DOUBLE) AS internet
   FROM act GROUP BY ALL),
-qs AS (
-  SELECT
-    {", ".join(
-        f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))[CAST(ceil((1.0 / 3) * count({c})) AS BIGINT)] AS {c}_q1, "
-        f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))[CAST(ceil((2.0 / 3) * count({c})) AS BIGINT)] AS {c}_q2"
-        for c in ("sms", "call", "internet"))}
-  FROM ct),
-cat AS (
-  SELECT countryCode, sms, call, internet,
-    {", ".join(
-        f"CASE WHEN {c} IS NULL THEN NULL ELSE CAST((CASE WHEN {c}_q1 <= {c} THEN 1 ELSE 0 END)"
-        f" + (CASE WHEN {c}_q2 <= {c} AND {c}_q2 <> {c}_q1 THEN 1 ELSE 0 END) AS DOUBLE) END AS {c}Category"
-        for c in ("sms", "call", "internet"))}
-  FROM ct, qs)"""
-
-
-def _q_quantile_categories() -> str:
-    return f"""{_quantile_sums()}
+qs AS (SELECT {splits} FROM ct),
+cat AS (SELECT {key}, sms, call, internet, {", ".join(bucket(c) for c in columns)} FROM ct, qs)"""
+
+
+def _q_quantile_categories(key: str = "countryCode", buckets: int = 3) -> str:
+    return f"""{_quantile_sums(key, buckets)}
 SELECT * FROM cat"""
 
 
@@ -334,6 +338,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_peak_hour_propagate": _q_daily_peak_hour("cells", "propagate"),
         "daily_peak_hour_max": _q_daily_peak_hour_max(),
         "grid_hour_peak_records": _q_grid_hour_peak_records(),
+        "grid_hour_peak_records_tied": _q_grid_hour_peak_records("tied"),
         "grid_hour_peak_records_full": _q_grid_hour_peak_records_full(),
         "grid_daily_peak_hour": _q_grid_daily_peak_hour(),
         "grid_daily_peak_window": _q_grid_daily_peak_window(),
@@ -357,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
         "country_categories": _q_country_categories(),
         "quantile_categories": _q_quantile_categories(),
         "internet_categories": _q_internet_categories(),
+        "quantile_categories_grids": _q_quantile_categories("gridId", 4),
         "activity_by_date": _q_activity_by_date(),
         "point_lookup": _q_point_lookup(),
         "max_total": _q_max_total(),

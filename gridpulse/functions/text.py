@@ -39,6 +39,19 @@ def separator_pattern(separators: str) -> str:
     return "[" + body + "]"
 
 
+def text_pieces(c: Column, separators: str, piece_chars: int) -> Column:
+    """Array of consecutive pieces of a text, which end before a separator or with
+    the text: each has ``piece_chars`` characters and what follows up to the next
+    separator. One pass over the text; a short text is one piece, a null text
+    gives null."""
+    if piece_chars < 1:
+        raise ValueError("piece_chars must be at least 1")
+    body = "".join("\\" + ch if ch in _CLASS_SPECIAL else ch for ch in dict.fromkeys(separators))
+    return F.when(F.length(c) <= piece_chars, F.array(c)).otherwise(
+        F.regexp_extract_all(c, F.lit(f"(?s).{{1,{piece_chars}}}[^{body}]*"), F.lit(0))
+    )
+
+
 def java_trim(c: Column) -> Column:
     """Strip characters up to U+0020 from both ends (no regex)."""
     return F.trim(c, F.lit(_CONTROLS))

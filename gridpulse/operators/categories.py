@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.operators.distribution import exact_quantiles
+
 # Default category labels, lowest first.
 DEFAULT_LABELS = ("low", "medium", "high")
 
@@ -56,24 +58,31 @@ def quantile_categories(
     df: DataFrame,
     columns: Mapping[str, str],
     buckets: int = 3,
-    relative_error: float = 0.001,
+    relative_error: float | None = None,
 ) -> DataFrame:
     """Quantile bucket index (as a double) for each ``input -> output`` column.
 
-    Splits are the approximate ``1/buckets, 2/buckets, ...`` quantiles of each
-    input (``percentile_approx`` with accuracy ``1 / relative_error``), with
-    repeated splits merged; bucket ``k`` holds values from the k-th distinct
+    Splits are the ``1/buckets, 2/buckets, ...`` quantiles of each input, with
+    repeated splits merged: exact ones by distributed selection
+    (``operators.distribution.exact_quantiles``), or, if ``relative_error`` is
+    given, those of ``percentile_approx`` with accuracy ``1 / relative_error``. Bucket ``k`` holds values from the k-th distinct
     split (inclusive) to the next (exclusive), open at both outer ends. Null
     inputs get a null bucket.
     """
     if buckets < 2:
         raise ValueError("need at least two buckets")
-    probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(1, int(round(1.0 / relative_error)))
-    # One subquery: a struct holding every column's split array.
-    all_splits = df.agg(
-        F.struct(*[F.percentile_approx(F.col(src).cast("double"), probs, accuracy).alias(src) for src in columns])
-    ).scalar()
+    # One subquery: a struct or map holding every column's split array.
+    if relative_error is None:
+        named = [F.struct(F.lit(src).alias("name"), F.col(src).cast("double").alias("value")) for src in columns]
+        values = df.select(F.explode(F.array(*named)).alias("x")).select("x.name", "x.value")
+        splits = exact_quantiles(values, ["name"], "value", buckets, out="splits")
+        all_splits = splits.agg(F.map_from_entries(F.collect_list(F.struct("name", "splits")))).scalar()  # a row per column
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        accuracy = max(1, int(round(1.0 / relative_error)))
+        all_splits = df.agg(
+            F.struct(*[F.percentile_approx(F.col(src).cast("double"), probs, accuracy).alias(src) for src in columns])
+        ).scalar()
     buckets_of = {}
     for src, dst in columns.items():
         splits = all_splits[src]

@@ -1,13 +1,15 @@
 """Per-group maxima ("peaks") and ranks.
 
-By default both are ``rank()`` windows; each has an opt-in form for groups too
-large or too tied for one task (``strategy="join"`` / ``strategy="range"``).
-
 ``peak_rows`` keeps every row ranked first in its group (ties kept). Written as
 ``rank() = 1`` it lets Spark plan a partial ``WindowGroupLimit`` in each map
 task before the shuffle, so a group with many rows sends only its local
 top-tied rows across the network; a ``max()`` / ``first()`` window would ship
-every row of the group.
+every row of the group. ``strategy="spread"`` also spreads groups whose top may
+be shared by a great many rows over tasks.
+
+``with_rank`` numbers rows within a group: in one task per group
+(``strategy="window"``), or from counts per distinct value that are spread
+over tasks (``strategy="range"``).
 
 Null peaks: ``rank() = 1`` keeps a group whose values are all null (null
 ranks first when nothing else is there). A "row equals the group max" filter
@@ -23,17 +25,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridpulse.operators.distribution import BEFORE, null_safe_join, rows_before
+
 _PEAK_RANK = "__peak_rank"
 _PEAK_MAX = "__peak_max"
-STRATEGIES = ("window", "join")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``on`` with null-safe equality; keeps ``left``'s copies."""
-    lhs, rhs = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
-    extra = [F.col(f"r.{c}") for c in right.columns if c not in on]
-    return lhs.join(rhs, cond, how).select(*[F.col(f"l.{c}") for c in left.columns], *extra)
+_GROUP_ROWS = "__group_rows"
+_SALT = "__salt"
+STRATEGIES = ("window", "spread", "join")
+#: A group is spread if it holds more rows than this and more than one in
+#: ``HOT_GROUPS`` of all rows, so that there are fewer than ``HOT_GROUPS`` such groups.
+HOT_ROWS = 10_000
+HOT_GROUPS = 65_536
 
 
 def peak_rows(
@@ -42,6 +44,7 @@ def peak_rows(
     order_by: str,
     drop_null_peaks: bool = False,
     strategy: str = "window",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows with the largest ``order_by`` within each ``partition_by`` group.
 
@@ -50,6 +53,13 @@ def peak_rows(
 
     ``strategy="window"`` (default) ranks within each group; the partial
     group limit keeps the shuffle to each task's local top rows.
+    ``strategy="spread"`` is for records, of which one group may hold a third
+    and all of those may tie. Row counts and maxima per group (a partial
+    aggregate) name the hot groups, fewer than ``HOT_GROUPS`` whatever the
+    input, which are broadcast. Their rows below the maximum go at once; what
+    is left of them is salted by the reading task, the rest is not, and one
+    window with its partial group limit finishes both. The plan is the same
+    for all sizes.
     ``strategy="join"`` is for groups whose top value is shared by a great
     many rows: it takes each group's maximum with a partial aggregate and
     joins the rows back to it. Adaptive execution broadcasts the maxima when
@@ -65,24 +75,36 @@ def peak_rows(
         df = df.where(F.col(order_by).isNotNull())
     if strategy == "join":
         return _peak_rows_by_join(df, list(partition_by), order_by)
+    if strategy == "spread":
+        return _peak_rows_spread(df, list(partition_by), order_by, hot_rows)
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
     return df.withColumn(_PEAK_RANK, F.rank().over(w)).where(F.col(_PEAK_RANK) == 1).drop(_PEAK_RANK)
 
 
+def _peak_rows_spread(df: DataFrame, keys: list[str], order_by: str, hot_rows: int) -> DataFrame:
+    tops = df.groupBy(*keys).agg(F.max(order_by).alias(_PEAK_MAX), F.count(F.lit(1)).alias(_GROUP_ROWS))
+    every = tops.agg(F.sum(_GROUP_ROWS).alias("n")).scalar()
+    hot = tops.where((F.col(_GROUP_ROWS) > hot_rows) & (F.col(_GROUP_ROWS) * HOT_GROUPS > every))
+    rows = null_safe_join(df, F.broadcast(hot), keys, "left")  # fewer than HOT_GROUPS rows
+    is_hot = F.col(_GROUP_ROWS).isNotNull()
+    rows = rows.where(~is_hot | F.col(order_by).eqNullSafe(F.col(_PEAK_MAX)))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # all rows left of a hot group tie, so any deal of them gives each rank 1
+    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    w = Window.partitionBy(*keys, _SALT).orderBy(F.col(order_by).desc())
+    ranked = rows.withColumn(_SALT, salt).withColumn(_PEAK_RANK, F.rank().over(w))
+    return ranked.where(F.col(_PEAK_RANK) == 1).select(*df.columns)
+
+
 def _peak_rows_by_join(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """Rows equal to their group's maximum; a group with no value keeps its
     null rows (as ``rank() = 1`` does). Keys match null-safely."""
     maxes = df.groupBy(*keys).agg(F.max(order_by).alias(_PEAK_MAX))
     value, mx = F.col(order_by), F.col(_PEAK_MAX)
     keep = (value == mx) | (mx.isNull() & value.isNull())
-    return _null_safe_join(df, maxes, keys).where(keep).drop(_PEAK_MAX)
+    return null_safe_join(df, maxes, keys).where(keep).drop(_PEAK_MAX)
 
 
-_BUCKET = "__bucket"
-_BOUNDS = "__bounds"
-_BUCKET_ROWS = "__bucket_rows"
-_OFFSET = "__offset"
-_VALUE_RANK = "__value_rank"
 RANK_STRATEGIES = ("window", "range")
 
 
@@ -92,45 +114,24 @@ def with_rank(
     order_by: str,
     name: str = "rank",
     strategy: str = "window",
-    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``rank()`` by ``order_by`` descending within each group (gaps after ties).
 
     ``strategy="window"`` (default) ranks each group in one task.
 
-    ``strategy="range"`` is for groups too large for one task: cut each
-    group's values into ``buckets`` ranges at approximate quantiles (a
-    function of the value, so ties share a range), rank inside each (group,
-    range), and add the number of rows in the ranges of larger values, looked
-    up by group and range number. Every row is kept by construction, and no
-    join compares values. ``buckets`` defaults to the shuffle partition count.
+    ``strategy="range"`` is for groups too large for one task: a value's rank is
+    one more than the rows of larger values in its group, which come from counts
+    per distinct value and prefix sums over ranges of them (see
+    ``operators.distribution``), and are joined back to the rows by group and
+    value. The counts are checkpointed when the function is called.
     """
     if not partition_by:
         raise ValueError("with_rank needs at least one partition column")
     if strategy not in RANK_STRATEGIES:
         raise ValueError(f"strategy must be one of {RANK_STRATEGIES}, got {strategy!r}")
     if strategy == "range":
-        return _rank_by_ranges(df, list(partition_by), order_by, name, buckets)
+        keys = list(partition_by)
+        ranks = rows_before(df, keys, order_by).select(*keys, order_by, (F.col(BEFORE) + 1).cast("int").alias(name))
+        return null_safe_join(df, ranks, [*keys, order_by], "left")
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
     return df.withColumn(name, F.rank().over(w))
-
-
-def _rank_by_ranges(df: DataFrame, keys: list[str], order_by: str, name: str, buckets: int | None) -> DataFrame:
-    # four ranges a task even out the tasks' sizes
-    n = 4 * (buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    v = F.col(order_by)
-    probs = [i / n for i in range(1, n)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(order_by, probs, 10_000).alias(_BOUNDS))
-    # range 0 holds the largest values; nulls sort last
-    bucket = F.when(v.isNull(), F.lit(len(probs) + 1)).otherwise(F.coalesce(F.size(F.filter(_BOUNDS, lambda b: b > v)), F.lit(0)))
-    rows = _null_safe_join(df, bounds, keys, "left").withColumn(_BUCKET, bucket).drop(_BOUNDS)
-    earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*keys, _BUCKET)
-        .agg(F.count(F.lit(1)).alias(_BUCKET_ROWS))
-        .withColumn(_OFFSET, F.coalesce(F.sum(_BUCKET_ROWS).over(earlier), F.lit(0)))
-        .select(*keys, _BUCKET, _OFFSET)
-    )
-    inside = F.rank().over(Window.partitionBy(*keys, _BUCKET).orderBy(v.desc()))
-    ranked = _null_safe_join(rows.withColumn(_VALUE_RANK, inside), offsets, [*keys, _BUCKET], "left")
-    return ranked.withColumn(name, (F.col(_VALUE_RANK) + F.coalesce(_OFFSET, F.lit(0))).cast("int")).select(*df.columns, name)

@@ -44,14 +44,14 @@ def daily_peak_hour_by_max(prepared: DataFrame) -> DataFrame:
     return peak_rows(hourly, ["date"], "hourlyTotalActivity", drop_null_peaks=True)
 
 
-def grid_hour_peak_records(prepared: DataFrame, all_columns: bool = False, strategy: str = "window") -> DataFrame:
+def grid_hour_peak_records(prepared: DataFrame, all_columns: bool = False, strategy: str = "spread") -> DataFrame:
     """Record(s) with the largest total within each (grid, date, hour).
 
     No summing: these are single records. Default columns are
     ``gridId, activityDate, hour, totalActivity``; ``all_columns`` keeps every
     input column and appends ``hour``. Null totals never qualify.
-    ``strategy="join"`` suits data where a hot group has a huge number of
-    records tied at its top (see :func:`peak_rows`).
+    The default spreads a group that holds a large share of all records, tied
+    or not, over tasks (see :func:`peak_rows`).
     """
     if all_columns:
         rows = prepared.withColumn(S.HOUR, hour_of_day())
@@ -123,13 +123,14 @@ def country_categories(prepared: DataFrame, labels=DEFAULT_LABELS) -> DataFrame:
     return equal_width_categories(A.country_totals(prepared), S.COUNTRY_ACTIVITY, labels, out=S.CATEGORY)
 
 
-def country_quantile_categories(prepared: DataFrame, buckets: int = 3) -> DataFrame:
-    """Per country: SMS, call and internet sums and their quantile buckets.
+def country_quantile_categories(prepared: DataFrame, buckets: int = 3, key: str = S.COUNTRY_CODE) -> DataFrame:
+    """Per country (or other ``key``): SMS, call and internet sums and their
+    exact quantile buckets.
 
     ``countryCode, sms, call, internet, smsCategory, callCategory,
     internetCategory``. Run it on a zero-filled frame.
     """
-    sums = prepared.groupBy(S.COUNTRY_CODE).agg(
+    sums = prepared.groupBy(key).agg(
         F.sum(F.col(S.SMS_IN) + F.col(S.SMS_OUT)).alias("sms"),
         F.sum(F.col(S.CALL_IN) + F.col(S.CALL_OUT)).alias("call"),
         F.sum(S.INTERNET).alias("internet"),

@@ -40,6 +40,10 @@ LOOKUP_DAY = _dt.date(2024, 1, 15)
 RANKING_GRID = 2
 RANKING_DAY = _dt.date(2024, 1, 15)
 
+# The grid and time of the records that tie.
+TIED_GRID = -1
+TIED_TIME = "2024-01-15 10:00:00"
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Final casts for comparison with a zone-less SQL engine: decimal columns
@@ -85,7 +89,15 @@ def raw_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ADAPTERS = {"long": raw_long, "cells": raw_cells, "null_keys": raw_null_keys}
+def raw_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``long`` records, a third of them moved to one grid and hour with equal measures."""
+    events = read_events(_utc(spark), sf_dir)
+    moved = {"user_id": F.lit(TIED_GRID), "ts": F.lit(TIED_TIME).cast("timestamp_ntz"), "event_type": F.lit("click"), "value": F.lit(1.0)}
+    third = F.col("event_id") % 3 == 0
+    return events_as_activity(events.withColumns({c: F.when(third, v).otherwise(F.col(c)) for c, v in moved.items()}))
+
+
+_ADAPTERS = {"long": raw_long, "cells": raw_cells, "null_keys": raw_null_keys, "tied": raw_tied}
 
 
 def _activity(
@@ -112,13 +124,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DOCUMENTS_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
 
 
+def _spread(spark: SparkSession) -> int:
+    """Tasks that the texts are spread over: the table is one row group, so one task would read it all."""
+    return spark.sparkContext.defaultParallelism
+
+
 def word_count_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(_documents(spark, sf_dir), text_col="text")
+    return word_count(_documents(spark, sf_dir), text_col="text", partitions=_spread(spark))
 
 
 def word_count_test_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(
-        _documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text"
+        _documents(spark, sf_dir), TEST_SEPARATORS, TEST_STOP_WORDS, text_col="text", partitions=_spread(spark)
     )
 
 
@@ -156,6 +173,7 @@ QUERIES: dict[str, QueryFn] = {
     ),
     "grid_daily_peak_hour": _activity(Q.grid_daily_peak_hour, "cells", S.PROPAGATE),
     "grid_daily_peak_window": _activity(Q.grid_daily_peak_window, "cells", S.PROPAGATE),
+    "grid_hour_peak_records_tied": _activity(Q.grid_hour_peak_records, "tied", S.ZERO),
     # ranks and averages
     "rank_grids_daily": _activity(Q.rank_grids_daily, "long", S.ZERO),
     "rank_grids_by_peak_hour": _activity(Q.rank_grids_by_peak_hour, "cells", S.PROPAGATE),
@@ -180,6 +198,9 @@ QUERIES: dict[str, QueryFn] = {
     "country_categories": _activity(Q.country_categories, "long", S.ZERO),
     "quantile_categories": _activity(Q.country_quantile_categories, "long", S.ZERO),
     "internet_categories": _activity(Q.internet_categories, "long", S.ZERO),
+    "quantile_categories_grids": _activity(
+        lambda p: Q.country_quantile_categories(p, buckets=4, key=S.GRID_ID), "long", S.ZERO
+    ),
     # records, lookups, counts
     "activity_by_date": activity_by_date,
     "point_lookup": point_lookup_cells,

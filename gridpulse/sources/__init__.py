@@ -2,7 +2,7 @@
 
 from gridpulse.sources.activity import read_activity, read_activity_epoch, read_activity_parquet
 from gridpulse.sources.events import events_as_activity, events_as_cells, read_events
-from gridpulse.sources.text import read_lines
+from gridpulse.sources.text import read_lines, read_text_pieces
 
 __all__ = [
     "events_as_activity",
@@ -12,4 +12,5 @@ __all__ = [
     "read_activity_parquet",
     "read_events",
     "read_lines",
+    "read_text_pieces",
 ]

@@ -197,7 +197,7 @@ def test_rank_strategies_agree(spark, rows, policy, parts):
     df = prepare_activity(spark.createDataFrame(rows, S.ACTIVITY_SCHEMA), policy)
     keys = [S.ACTIVITY_DATE]
     by_window = with_rank(df, keys, S.TOTAL_ACTIVITY)
-    by_range = with_rank(df, keys, S.TOTAL_ACTIVITY, strategy="range", buckets=parts)
+    by_range = with_rank(df.repartition(parts), keys, S.TOTAL_ACTIVITY, strategy="range")
     assert by_range.columns == by_window.columns
     assert by_range.schema == by_window.schema
     assert sorted(map(tuple, by_range.collect()), key=repr) == sorted(map(tuple, by_window.collect()), key=repr)
