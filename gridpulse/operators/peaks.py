@@ -132,6 +132,6 @@ def with_rank(
     if strategy == "range":
         keys = list(partition_by)
         ranks = rows_before(df, keys, order_by).select(*keys, order_by, (F.col(BEFORE) + 1).cast("int").alias(name))
-        return null_safe_join(df, ranks, [*keys, order_by], "left")
+        return null_safe_join(df, ranks, [*keys, order_by])
     w = Window.partitionBy(*partition_by).orderBy(F.col(order_by).desc())
     return df.withColumn(name, F.rank().over(w))
