@@ -98,7 +98,16 @@ def _tied_raw() -> str:
     return _long_raw(events=f"(SELECT {columns} FROM events)")
 
 
-_RAW = {"long": _long_raw, "cells": _cells_raw, "null_keys": _null_keys_raw, "tied": _tied_raw}
+# The damaged lines of the text adapter, by event number (the first that holds).
+_DAMAGE = [(7, "short line"), (17, "long line"), (11, "bad key"), (13, "bad measure")]
+
+
+def _checked_raw() -> str:
+    good = " AND ".join(f"event_id % {n} <> 0" for n, _ in _DAMAGE)
+    return _long_raw(events=f"(SELECT * FROM events WHERE {good})")
+
+
+_RAW = {"checked": _checked_raw, "long": _long_raw, "cells": _cells_raw, "null_keys": _null_keys_raw, "tied": _tied_raw}
 
 
 def _ts_of(ms: str) -> str:
@@ -301,6 +310,21 @@ SELECT gridId, intervalStart, countryCode, {measures}, activityDateTime, {_dbl("
 FROM act WHERE gridId = 2 AND activityDate = DATE '2024-01-15'"""
 
 
+def _q_rejected_records() -> str:
+    reason = " ".join(f"WHEN event_id % {n} = 0 THEN '{r}'" for n, r in _DAMAGE)
+    return f"""SELECT reason, count(*) AS records FROM (SELECT CASE {reason} END AS reason FROM events)
+WHERE reason IS NOT NULL GROUP BY reason"""
+
+
+def _rounded(sql: str, column: str, digits: int) -> str:
+    return f"SELECT * REPLACE (round({column}, {digits}) AS {column}) FROM ({sql})"
+
+
+def _q_grid_daily_totals() -> str:
+    return f"""{_act("long", "zero")}
+SELECT gridId, activityDate, CAST(sum(totalActivity) AS DOUBLE) AS totalActivity FROM act GROUP BY ALL"""
+
+
 def _q_max_total() -> str:
     return f"""{_act("cells", "propagate")}
 SELECT CAST(max(totalActivity) AS DOUBLE) AS maxTotalActivity FROM act"""
@@ -363,6 +387,20 @@ def oracle_sql() -> dict[str, str]:
         "quantile_categories": _q_quantile_categories(),
         "internet_categories": _q_internet_categories(),
         "quantile_categories_grids": _q_quantile_categories("gridId", 4),
+        "daily_peak_hour_rollup": _q_daily_peak_hour("long", "zero"),
+        "country_categories_rollup": _q_country_categories(),
+        "avg_per_grid_day_rollup": _q_avg_per_grid_day(),
+        "rank_grids_daily_rollup": _q_rank_grids_daily(),
+        "grid_hour_peak_records_rollup": _q_grid_hour_peak_records(),
+        "daily_peak_hour_doubles": _rounded(_q_daily_peak_hour("long", "zero"), "summedActivity", 2),
+        "avg_per_grid_day_doubles": _rounded(_q_avg_per_grid_day(), "averageActivity", 6),
+        "rejected_records": _q_rejected_records(),
+        "daily_peak_hour_checked": _q_daily_peak_hour("checked", "zero"),
+        "grid_daily_peak_hour_bucketed": _q_grid_daily_peak_hour("long", "zero"),
+        "grid_daily_totals_bucketed": _q_grid_daily_totals(),
+        "point_lookup_staged": _q_point_lookup(),
+        "grid_daily_peak_window_late": _q_grid_daily_peak_window("long", "zero"),
+        "avg_per_grid_week_late": _q_avg_per_grid_week("long", "zero"),
         "activity_by_date": _q_activity_by_date(),
         "point_lookup": _q_point_lookup(),
         "max_total": _q_max_total(),

@@ -11,7 +11,7 @@ staged table is left in place for further questions; remove it when done.
 
 Command line::
 
-    python -m gridpulse.apps report  <input> <out_dir> [--null-policy zero|propagate]
+    python -m gridpulse.apps report  <input> <out_dir> [--null-policy zero|propagate] [--rollup DIR --batch NAME]
     python -m gridpulse.apps wordcount <input> <output> [--separators " "] [--stop-word the ...]
 """
 
@@ -29,6 +29,7 @@ from gridpulse import schema as S
 from gridpulse.functions.columns import prepare_activity
 from gridpulse.operators.words import DEFAULT_SEPARATORS, DEFAULT_STOP_WORDS, word_count
 from gridpulse.plans import queries as Q
+from gridpulse.plans import rollup
 from gridpulse.session import checkpoint_dir
 from gridpulse.sinks import write_by_date, write_json, write_word_counts
 from gridpulse.sources import read_activity, read_lines
@@ -122,6 +123,29 @@ def activity_report(
     return paths
 
 
+def rollup_report(
+    spark: SparkSession,
+    files: Mapping[str, str | list[str]],
+    rollup_dir: str,
+    out_dir: str,
+    null_policy: str = S.ZERO,
+    delimiter: str = "\t",
+    schema: T.StructType = S.ACTIVITY_SCHEMA,
+) -> dict[str, str]:
+    """Add the files (batch name -> path) to the rollup table at ``rollup_dir`` and write
+    the five questions' answers from the whole table; return ``name -> path``.
+
+    Each file is parsed once, when it is added; later reports read only the table
+    (``plans.rollup``). A batch that is added again replaces itself."""
+    for batch, path in files.items():
+        rollup.add_records(prepare_activity(read_activity(spark, path, delimiter, schema), null_policy), rollup_dir, batch)
+    table = rollup.read_rollup(spark, rollup_dir)
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in rollup.QUESTIONS}
+    for name, question in rollup.QUESTIONS.items():
+        write_json(question(table), paths[name])
+    return paths
+
+
 def word_count_job(
     spark: SparkSession,
     source: str | list[str],
@@ -145,6 +169,8 @@ def main(argv: list[str] | None = None) -> None:
     rep.add_argument("--delimiter", default="\t")
     rep.add_argument("--staging-dir")
     rep.add_argument("--parallel", type=int, default=1, help="questions answered at once")
+    rep.add_argument("--rollup", metavar="DIR", help="add the input to the rollup table in DIR and answer from it")
+    rep.add_argument("--batch", default="all", help="name of the input within the rollup table")
     rep.add_argument("--cluster-staging", action="store_true", help="rebalance by date before staging")
     wc = sub.add_parser("wordcount", help="word count -> (word,count) lines")
     wc.add_argument("input")
@@ -155,7 +181,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"gridpulse-{args.job}").getOrCreate()
     try:
-        if args.job == "report":
+        if args.job == "report" and args.rollup:
+            rollup_report(spark, {args.batch: args.input}, args.rollup, args.out_dir, args.null_policy, args.delimiter)
+        elif args.job == "report":
             activity_report(
                 spark,
                 args.input,

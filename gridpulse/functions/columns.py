@@ -98,12 +98,18 @@ def prepare_activity(
     null_policy: str = S.ZERO,
     drop_epoch: bool = True,
     epoch_col: str | None = None,
+    reproducible: bool = False,
 ) -> DataFrame:
     """Raw records -> dated records with a total, under ``null_policy``.
 
+    ``reproducible`` marks the total (in the column's metadata) so that the grouped
+    sums and averages of doubles don't depend on the order of addition
+    (``operators.exact_sums``); decimals never do.
+
     This is the shared first step of every activity query. The epoch column
     is found by name unless given. It is lazy; persist or checkpoint it
     yourself when several queries read it.
     """
     epoch = epoch_col or epoch_column(df)
-    return with_activity_columns(apply_null_policy(df, null_policy), epoch_col=epoch, drop_epoch=drop_epoch)
+    out = with_activity_columns(apply_null_policy(df, null_policy), epoch_col=epoch, drop_epoch=drop_epoch)
+    return out.withMetadata(S.TOTAL_ACTIVITY, {S.REPRODUCIBLE: True}) if reproducible else out

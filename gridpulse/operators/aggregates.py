@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from gridpulse import schema as S
 from gridpulse.functions.columns import day_of_month, hour_of_day
+from gridpulse.operators.exact_sums import is_reproducible, reproducible_sums
+
+_COUNT = "__values"
 
 Key = str | Column
 
@@ -30,10 +33,18 @@ def mean(c: str | Column) -> Column:
 
 
 def sum_by(df: DataFrame, keys: Sequence[Key], value: str = S.TOTAL_ACTIVITY, alias: str = S.SUMMED_ACTIVITY) -> DataFrame:
+    """Sum per group; independent of the order of addition if ``value`` is a decimal or
+    a double marked by ``prepare_activity(reproducible=True)``."""
+    if is_reproducible(df, value):
+        return reproducible_sums(df, keys, value, alias)
     return df.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
 def average_by(df: DataFrame, keys: Sequence[Key], value: str = S.TOTAL_ACTIVITY, alias: str = S.AVERAGE_ACTIVITY) -> DataFrame:
+    """Average of the non-null values per group, by :func:`sum_by`'s rule for doubles."""
+    if is_reproducible(df, value):
+        sums = reproducible_sums(df, keys, value, alias, count=_COUNT)
+        return sums.withColumn(alias, F.try_divide(alias, _COUNT)).drop(_COUNT)
     return df.groupBy(*keys).agg(mean(value).alias(alias))
 
 

@@ -14,6 +14,7 @@ is: one with another time zone gets a sibling session in UTC for the query.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,12 @@ from gridpulse.functions.columns import prepare_activity
 from gridpulse.operators.lookup import null_key_counts, point_lookup
 from gridpulse.operators.partitioning import dated_records, hash_partition_by_date
 from gridpulse.operators.words import word_count
+from gridpulse.plans import late_files, rollup
 from gridpulse.plans import queries as Q
-from gridpulse.sources.events import events_as_activity, events_as_cells, read_events
+from gridpulse.session import ensure_checkpoint_dir
+from gridpulse.sinks import write_bucketed, write_for_lookup
+from gridpulse.sources.activity import reject_counts, stage_checked
+from gridpulse.sources.events import events_as_activity, events_as_cells, events_as_lines, read_events
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +167,79 @@ def interval_bounds_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(Q.interval_bounds(raw_long(spark, sf_dir)))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's shared one, for tables that a query writes first."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _rollup(question: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepared = prepare_activity(raw_long(spark, sf_dir))
+        path = _folder(spark, "rollup")
+        half = F.dayofmonth(S.ACTIVITY_DATE) <= 15
+        for batch, records in (("late", prepared.where(~half)), ("early", prepared.where(half))):
+            rollup.add_records(records, path, batch)
+        return comparable(rollup.QUESTIONS[question](rollup.read_rollup(prepared.sparkSession, path)))
+
+    run.__doc__ = f"{question} from the shared partial aggregate of two batches of the long adapter"
+    return run
+
+
+def _doubles(query: Callable[[DataFrame], DataFrame], value: str, digits: int) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = raw_long(spark, sf_dir).withColumns({m: F.col(m).cast("double") for m in S.MEASURES})
+        return query(prepare_activity(raw, reproducible=True)).withColumn(value, F.round(value, digits))
+
+    run.__doc__ = f"{query.__name__} with measures read as doubles and reproducible sums, rounded to {digits} digits"
+    return run
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected records of the events written as text lines."""
+    session = _utc(spark)
+    lines, table = _folder(spark, "lines"), _folder(spark, "checked")
+    events_as_lines(read_events(session, sf_dir)).write.text(lines)
+    return stage_checked(session, lines, table, schema=S.activity_schema(T.DecimalType(18, 2)))
+
+
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reject_counts(_checked(spark, sf_dir)[1])
+
+
+def daily_peak_hour_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(Q.daily_peak_hour(prepare_activity(_checked(spark, sf_dir)[0])))
+
+
+def _bucketed(query: Callable[[DataFrame], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepared = prepare_activity(raw_long(spark, sf_dir))
+        name = f"activity_{uuid.uuid4().hex}"
+        return comparable(query(write_bucketed(prepared, name, _folder(spark, "bucketed"), buckets=8)))
+
+    run.__doc__ = f"{query.__name__} on a table of the long adapter that is bucketed by grid"
+    return run
+
+
+def point_lookup_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "lookup")
+    prepared = prepare_activity(raw_cells(spark, sf_dir), S.PROPAGATE, drop_epoch=False)
+    write_for_lookup(prepared, path)
+    stored = prepared.sparkSession.read.schema(prepared.schema).parquet(path)
+    return comparable(point_lookup(stored, **{S.GRID_ID: LOOKUP_GRID, S.ACTIVITY_DATE: LOOKUP_DAY}))
+
+
+def _late(read: Callable[[SparkSession, str], DataFrame]) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = read_events(_utc(spark), sf_dir)
+        path = _folder(spark, "windows")
+        for part in (2, 0, 1):  # three files whose records overlap in time
+            late_files.add_file(prepare_activity(events_as_activity(events.where(F.col("event_id") % 3 == part))), path)
+        return comparable(read(events.sparkSession, path))
+
+    run.__doc__ = f"{read.__name__} of the long adapter's records, after three files out of order"
+    return run
+
+
 QUERIES: dict[str, QueryFn] = {
     # peaks
     "daily_peak_hour": _activity(Q.daily_peak_hour, "long", S.ZERO),
@@ -201,6 +279,23 @@ QUERIES: dict[str, QueryFn] = {
     "quantile_categories_grids": _activity(
         lambda p: Q.country_quantile_categories(p, buckets=4, key=S.GRID_ID), "long", S.ZERO
     ),
+    # one shared partial aggregate
+    "daily_peak_hour_rollup": _rollup("busiest_hours"),
+    "country_categories_rollup": _rollup("country_bands"),
+    "avg_per_grid_day_rollup": _rollup("grid_day_means"),
+    "rank_grids_daily_rollup": _rollup("grid_ranking"),
+    "grid_hour_peak_records_rollup": _rollup("peak_records"),
+    # measures as doubles
+    "daily_peak_hour_doubles": _doubles(Q.daily_peak_hour, S.SUMMED_ACTIVITY, 2),
+    "avg_per_grid_day_doubles": _doubles(Q.average_per_grid_day, S.AVERAGE_ACTIVITY, 6),
+    # checked parsing, stored layouts, late files
+    "rejected_records": rejected_records,
+    "daily_peak_hour_checked": daily_peak_hour_checked,
+    "grid_daily_peak_hour_bucketed": _bucketed(Q.grid_daily_peak_hour),
+    "grid_daily_totals_bucketed": _bucketed(Q.A.grid_daily_totals),
+    "point_lookup_staged": point_lookup_staged,
+    "grid_daily_peak_window_late": _late(late_files.read_peaks),
+    "avg_per_grid_week_late": _late(late_files.read_averages),
     # records, lookups, counts
     "activity_by_date": activity_by_date,
     "point_lookup": point_lookup_cells,

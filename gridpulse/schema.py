@@ -59,6 +59,9 @@ ACTIVITY_SCHEMA = activity_schema()
 # keys declared non-nullable (file sources still read every column nullable).
 EPOCH_ACTIVITY_SCHEMA = activity_schema(epoch_name=ACTIVITY_START_EPOCH, keys_nullable=False)
 
+# Metadata key of a total whose sums of doubles are to be independent of their order.
+REPRODUCIBLE = "reproducibleSum"
+
 # Null policies for the total of the five measures:
 #   "zero"      -> null and NaN measures become 0 before summing; every row counts
 #   "propagate" -> total is null when any measure is null; sums and averages skip it

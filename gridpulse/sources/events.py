@@ -37,6 +37,9 @@ CELL_GRIDS = 5
 CELL_BUCKET_MS = 6 * 3600 * 1000
 MEASURE_TYPE = "decimal(18,2)"
 
+# Which events' lines are damaged (the first that holds).
+SHORT_EVERY, LONG_EVERY, BAD_KEY_EVERY, BAD_MEASURE_EVERY = 7, 17, 11, 13
+
 
 # Schema of the test table (read without inferring it from the file footer).
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -76,5 +79,28 @@ def events_as_cells(events: DataFrame) -> DataFrame:
     )
 
 
+def events_as_lines(events: DataFrame) -> DataFrame:
+    """The ``long`` records as tab-delimited text lines (``value``), some damaged as files
+    are: by the event's number a line loses fields, gets one too many, or holds text
+    in its grid or its internet volume."""
+    measures = _measure_exprs()
+    fields = ["CAST(user_id AS STRING)", f"CAST({_EPOCH_MS} AS STRING)", f"CAST(user_id % {LONG_COUNTRIES} AS STRING)"]
+    fields += [f"coalesce(CAST({measures[m]} AS STRING), '')" for m in S.MEASURES]
+
+    def line(parts: list[str]) -> str:
+        return f"concat_ws('\t', {', '.join(parts)})"
+
+    damage = " ".join(
+        f"WHEN event_id % {n} = 0 THEN {line(parts)}"
+        for n, parts in (
+            (SHORT_EVERY, fields[:5]),
+            (LONG_EVERY, [*fields, "'1'"]),
+            (BAD_KEY_EVERY, ["'x'", *fields[1:]]),
+            (BAD_MEASURE_EVERY, [*fields[:-1], "'n/a'"]),
+        )
+    )
+    return events.selectExpr(f"CASE {damage} ELSE {line(fields)} END AS value")
+
+
 def read_events(spark, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")

@@ -7,7 +7,7 @@ import json
 from conftest import epoch_ms
 
 from gridpulse import schema as S
-from gridpulse.apps import REPORT_QUERIES, activity_report, word_count_job
+from gridpulse.apps import REPORT_QUERIES, activity_report, rollup_report, word_count_job
 from gridpulse.functions.columns import prepare_activity
 from gridpulse.sources import read_activity
 
@@ -44,6 +44,21 @@ def test_report_matches_direct_queries(spark, scratch):
     assert len(_json_rows(out / "country_bands")) == 3
 
 
+def test_rollup_report_adds_files_one_by_one(spark, scratch):
+    files = {}
+    for d in (1, 2):
+        lines = [f"{g}\t{epoch_ms(2013, 11, d, h, 10)}\t{30 + g}\t{g}\t\t{h}\t1\t{d * g}" for h in (3, 9, 17) for g in (1, 2, 3)]
+        files[f"day{d}"] = str(scratch / f"day{d}.txt")
+        (scratch / f"day{d}.txt").write_text("\n".join(lines) + "\n")
+    table, out = str(scratch / "rollup"), scratch / "out"
+    rollup_report(spark, {"day1": files["day1"]}, table, str(out))
+    rollup_report(spark, {"day2": files["day2"]}, table, str(out))
+    direct = prepare_activity(read_activity(spark, list(files.values())))
+    for name, fn in REPORT_QUERIES.items():
+        key = lambda r: json.dumps(r, sort_keys=True)
+        assert sorted(_json_rows(out / name), key=key) == sorted((json.loads(x) for x in fn(direct).toJSON().collect()), key=key), name
+
+
 def test_word_count_job(spark, scratch):
     (scratch / "t.txt").write_text("the cat\nThe dog the cat\n")
     out = word_count_job(spark, str(scratch / "t.txt"), str(scratch / "wc"))

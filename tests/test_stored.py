@@ -1,0 +1,213 @@
+"""Reproducible sums, the shared rollup, checked parsing, stored layouts and late files."""
+
+from __future__ import annotations
+
+import math
+import random
+import struct
+
+import pytest
+from conftest import SF_SMALL, epoch_ms
+from pyspark.sql import functions as F
+from test_skew import _nodes
+
+from gridpulse import schema as S
+from gridpulse.apps import REPORT_QUERIES
+from gridpulse.functions.columns import prepare_activity
+from gridpulse.operators import aggregates as A
+from gridpulse.operators.exact_sums import reproducible_sums
+from gridpulse.operators.lookup import point_lookup
+from gridpulse.plans import late_files, rollup
+from gridpulse.plans import queries as Q
+from gridpulse.plans import registry as R
+from gridpulse.sinks import write_bucketed, write_by_date, write_for_lookup
+from gridpulse.sources import read_activity, reject_counts, stage_checked
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _bits(x):
+    return None if x is None else struct.pack(">d", x)
+
+
+def _executed(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    return list(_nodes(plan))
+
+
+def _scanned_rows(df):
+    """Rows that the file scans of ``df``'s plan put out."""
+    return sum(n.metrics().apply("numOutputRows").value() for n in _executed(df) if n.nodeName().startswith("Scan "))
+
+
+# ---- sums of doubles ----
+
+
+def test_sums_of_doubles_have_the_same_bits_in_any_order(spark):
+    rng = random.Random(5)
+    rows = []
+    for g in (1, 2, None):
+        rows += [(g, rng.choice([-1, 1]) * rng.random() * 10 ** rng.randrange(-12, 13)) for _ in range(700)]
+    rows += [(4, 0.1)] * 300 + [(5, 1e308), (5, -1e308), (5, 5e-324), (5, 2.0**-1040), (6, None), (6, None), (7, -0.0), (7, 0.0)]
+    rows += [(8, 2.0**k) for k in range(-1000, 1000, 7)] + [(9, 2.0**k * (1 - 2.0**-53)) for k in range(-300, 300)]
+    rows += [(10, 1.0), (10, math.inf), (11, math.inf), (11, -math.inf), (12, math.nan), (12, 3.0)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    plain_bits, seen = set(), set()
+    for parts, seed in ((1, 0), (3, 1), (7, 2), (8, 3)):
+        mixed = df.orderBy(F.rand(seed)).repartition(parts)
+        out = reproducible_sums(mixed, ["g"], "v", "s", count="n").collect()
+        seen.add(tuple(sorted((repr(r.g), _bits(r.s), r.n) for r in out)))
+        plain_bits.add(tuple(sorted((repr(r.g), _bits(r.s)) for r in mixed.groupBy("g").agg(F.sum("v").alias("s")).collect())))
+    assert len(seen) == 1 and len(plain_bits) > 1
+    for r in out:
+        values = [v for g, v in rows if g == r.g and v is not None]
+        if not values:
+            assert r.s is None and r.n == 0
+        elif r.g == 12 or r.g == 11:
+            assert math.isnan(r.s)
+        elif r.g == 10:
+            assert r.s == math.inf
+        else:
+            assert abs(r.s - math.fsum(values)) <= 2 * math.ulp(math.fsum(values))
+    assert reproducible_sums(df.limit(0), ["g"], "v", "s").count() == 0
+
+
+def test_questions_on_marked_doubles_are_reproducible(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(6), epoch_ms(2013, 11, 1 + rng.randrange(3), rng.randrange(24)), rng.randrange(4), *[rng.random() for _ in range(5)]) for _ in range(3000)]
+    raw = spark.createDataFrame(rows, S.ACTIVITY_SCHEMA)
+    questions = [Q.daily_peak_hour, Q.average_per_grid_day, Q.rank_grids_daily, Q.country_categories, Q.grid_daily_peak_window, Q.average_per_grid_window, A.grid_hourly_totals]
+    first = [_rows(q(prepare_activity(raw, reproducible=True))) for q in questions]
+    mixed = prepare_activity(raw.orderBy(F.rand(9)).repartition(7), reproducible=True)
+    assert [_rows(q(mixed)) for q in questions] == first
+    near = dict((r[:3], r[3]) for r in _rows(A.grid_hourly_totals(prepare_activity(raw))))
+    assert all(math.isclose(r[3], near[r[:3]], rel_tol=1e-12) for r in first[-1])
+
+
+# ---- shared partial aggregate ----
+
+
+def _decimals(spark, rows):
+    from pyspark.sql import types as T
+
+    return spark.createDataFrame(rows, S.ACTIVITY_SCHEMA).withColumns({m: F.col(m).cast(T.DecimalType(18, 2)) for m in S.MEASURES})
+
+
+@pytest.mark.parametrize("policy", S.NULL_POLICIES)
+def test_rollup_answers_as_the_records_do(spark, scratch, policy):
+    rng = random.Random(7)
+    rows = [
+        (rng.choice([None, 1, 2, 3]), epoch_ms(2013, 11, 1 + rng.randrange(3), rng.randrange(5)), rng.choice([None, 39, 40]), *[rng.choice([None, 1.0, 2.25]) for _ in range(5)])
+        for _ in range(900)
+    ] + [(9, epoch_ms(2013, 11, 1, 3), 39, 1.0, 1.0, 1.0, 1.0, 50.0)] * 25_000  # tied peaks
+    prepared = prepare_activity(_decimals(spark, rows), policy)
+    path = str(scratch / "rollup")
+    third = F.pmod(F.xxhash64(S.GRID_ID, S.ACTIVITY_DATE_TIME), F.lit(3))
+    for i in (2, 0, 1, 0):  # a batch that is added again replaces itself
+        rollup.add_records(prepared.where(third == i), path, f"file-{i}")
+    table = rollup.read_rollup(spark, path)
+    assert set(rollup.QUESTIONS) == set(REPORT_QUERIES)
+    for name, question in rollup.QUESTIONS.items():
+        direct = REPORT_QUERIES[name](prepared)
+        got, want = question(table), direct.select(*question(table).columns)
+        cast = [F.col(f.name).cast("double") if f.dataType.typeName() == "decimal" else F.col(f.name) for f in want.schema]
+        assert _rows(got.select(cast)) == _rows(want.select(cast)), name
+    with pytest.raises(ValueError):
+        rollup.add_records(prepared, path, "a/b")
+
+
+def test_rollup_reads_the_records_once(spark, scratch):
+    source = str(scratch / "records")
+    prepare_activity(R.raw_long(spark, SF_SMALL)).write.parquet(source)
+    records = spark.read.parquet(source)
+    n = records.count()
+    assert _scanned_rows(rollup.partials(records)) == n
+    path = str(scratch / "rollup")
+    rollup.add_records(records, path, "all")
+    stored = spark.read.parquet(path).count()
+    table = rollup.read_rollup(spark, path)
+    for name in ("busiest_hours", "grid_day_means"):
+        assert _scanned_rows(rollup.QUESTIONS[name](table)) == stored <= n
+
+
+# ---- rejected records ----
+
+
+def test_rejected_lines_are_split_off_by_reason(spark, scratch):
+    good = [f"{g}\t{epoch_ms(2013, 11, 1, 3)}\t39\t1.5\t\t2\t3\t4" for g in range(5)]
+    bad = {
+        "short line": ["1\t2", "7", "1\t1383264000000\t39\t1\t1\t1\t1"],
+        "long line": [good[0] + "\t9"],
+        "bad key": ["x" + good[0], good[1].replace("\t39\t", "\tIT\t"), "\t" + good[2].split("\t", 1)[1]],
+        "bad measure": [good[3] + "e", good[4].replace("1.5", "one")],
+    }
+    path = scratch / "in.txt"
+    path.write_text("\n".join(good + [x for lines in bad.values() for x in lines]) + "\n")
+    accepted, rejected = stage_checked(spark, str(path), str(scratch / "checked"))
+    assert _rows(accepted) == _rows(read_activity(spark, str(path)).where(f"{S.GRID_ID} between 0 and 4 and {S.CALL_OUT} = 3 and {S.INTERNET} = 4 and {S.SMS_IN} = 1.5 and {S.COUNTRY_CODE} = 39").dropDuplicates([S.GRID_ID]))
+    assert {r.reason: r.records for r in reject_counts(rejected).collect()} == {k: len(v) for k, v in bad.items()}
+    lines = {r.line for r in rejected.collect() if r.line is not None}
+    assert lines == {x for v in bad.values() for x in v} - {bad["bad key"][2]}  # an empty key parses
+    assert accepted.columns == S.ACTIVITY_SCHEMA.names
+    for df in (accepted, rejected):  # both come from the one parse
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "csv" not in plan and "PartitionFilters: [isnotnull(reason" in plan
+
+
+# ---- stored layouts ----
+
+
+def test_bucketed_table_plans_no_exchange(spark, scratch):
+    prepared = prepare_activity(R.raw_long(spark, SF_SMALL))
+    table = write_bucketed(prepared, "bucketed_activity", str(scratch / "bucketed"), buckets=4)
+    try:
+        for question in (Q.A.grid_daily_totals, Q.A.grid_hourly_totals, Q.average_per_grid_day, Q.grid_daily_peak_hour, Q.grid_daily_peak_window):
+            df = question(table)
+            assert not [n for n in _executed(df) if "Exchange" in n.nodeName()], question.__name__
+            assert _rows(df) == _rows(question(prepared)), question.__name__
+    finally:
+        spark.sql("DROP TABLE bucketed_activity")
+
+
+def test_lookup_layout_opens_few_row_groups(spark, scratch):
+    rows = spark.range(400_000).selectExpr(
+        "CAST(pmod(xxhash64(id), 20000) * 2 AS INT) AS gridId", "TIMESTAMP'2024-01-15 00:00:00' + make_dt_interval(0, 0, CAST(id % 60 AS INT)) AS activityDateTime", "id / 7 AS totalActivity", "DATE'2024-01-15' AS activityDate"
+    )
+    path, plain = str(scratch / "lookup"), str(scratch / "plain")
+    write_for_lookup(rows, path, row_group_bytes=128 << 10)
+    write_by_date(rows, plain)
+    want = rows.where("gridId = 1200")
+    for grid, expected in ((1200, want.count()), (1201, 0)):
+        found = point_lookup(spark.read.parquet(path), gridId=grid)
+        assert found.count() == expected
+        assert _scanned_rows(found) < 40_000
+    assert _scanned_rows(point_lookup(spark.read.parquet(plain), gridId=1200)) >= 200_000
+    assert _rows(point_lookup(spark.read.parquet(path), gridId=1200).select(rows.columns)) == _rows(want)
+
+
+# ---- late files ----
+
+
+def test_late_files_give_the_batch_result(spark, scratch):
+    rng = random.Random(11)
+    path = str(scratch / "windows")
+    files = []
+    for days in ([3], [1, 2], [2], [5], [1]):
+        files.append(
+            [(rng.choice([None, 1, 2, 3]), epoch_ms(2013, 11, rng.choice(days), rng.randrange(24)), 39, *[float(rng.randrange(4)) for _ in range(5)]) for _ in range(80)]
+        )
+    every = []
+    for rows in files:
+        before = {p: p.stat().st_mtime_ns for p in (scratch / "windows").rglob("*.parquet")}
+        late_files.add_file(prepare_activity(_decimals(spark, rows)), path)
+        every += rows
+        batch = prepare_activity(_decimals(spark, every))
+        assert _rows(late_files.read_peaks(spark, path)) == _rows(Q.grid_daily_peak_window(batch))
+        assert _rows(late_files.read_averages(spark, path)) == _rows(Q.average_per_grid_window(batch))
+        days = {str(r.d) for r in prepare_activity(_decimals(spark, rows)).select(F.col(S.ACTIVITY_DATE).alias("d")).distinct().collect()}
+        for p, t in before.items():  # other dates' files are as they were
+            if not any(f"date={d}" in str(p) for d in days):
+                assert p.exists() and p.stat().st_mtime_ns == t
