@@ -5,23 +5,27 @@ Documents are sets of distinct word shingles in the Jaccard metric
 The answer is exact: every document gets its component under all such links.
 
 1. Copies.  Documents with the same set are one point (equal 128-bit digest).
-2. Regions.  Two sets with ``d <= eps`` differ in at most
-   ``H = (|x| + |y|) * (1 - t) / (1 + t)`` shingles.  With the shingles dealt
-   over more than H cells (by hash, as many cells as the size level needs), a
-   linked pair agrees completely on some cell that is not empty in both.  The
-   points that agree on a cell form a region, and regions that share a point are
-   merged; a region's pivot is its smallest id.  So each linked pair meets in one
-   region, every text is sent to one place, and points that share no cell with
-   any other are done.  Sizes near a level's border are entered at both levels.
-3. Windows.  A region's points are measured against its pivot; those within
-   ``eps`` link to it and need no pairs among themselves.  If others remain, the
-   region is joined recursively: new pivots split it into Voronoi cells, a point
-   is replicated to every cell whose pivot is at most ``2 eps`` farther than its
-   nearest one (the triangle inequality then loses no pair), and cells small
-   enough are compared exactly.  A cell that pivots cannot split is compared in
-   blocks.  Regions too large for a task are dealt into pairs of blocks first.
-   A region gives a spanning forest of its links, never all pairs.
-4. Components of the links by distributed star contraction.
+2. Lone points.  A linked point has at most ``eps`` of its shingles to itself.
+   Shingles of one point only are counted by an aggregate over all shingles;
+   points with more of them link with nothing and are done.  Only the others'
+   texts are fetched, once, and their sets staged.
+3. Pivots.  Shingles are ordered by the number of points that hold them.  Two
+   linked sets share one of their first ``n - ceil(t n) + 1`` shingles in any common
+   order; the points that have a shingle among those meet at its pivot, the one of
+   the smallest digest, and a pivot's points are its region.  Passages that many
+   documents share come last in the order, so they make no region.
+4. Voronoi regions.  A region of more than ``max_region`` points (or too many
+   shingles) gets further pivots.  Each point is measured against them, linked with
+   those within ``eps``, and goes to the region of the nearest one and, by the
+   triangle inequality, to those whose pivot is at most ``2 eps`` farther.  Regions
+   whose points are in one component by now are done, large ones are split again.
+   Each level is a shuffle; a level's tasks hold at most ``max_region`` points.
+   Where a pivot's region keeps nearly all points (a dense group), the points outside
+   the largest component found so far are compared with all, block by block.
+5. A small region is joined in one task by the same recursion, down to blocks that
+   are compared by their incidence matrices.  It gives a spanning forest of its
+   links, never all pairs.
+6. Components of the links by distributed star contraction.
 
 Shingles are compared by 64-bit hash.  Defined cases: null and blank texts have
 no shingles and link with nothing; a text with fewer than ``words`` words is one
@@ -33,27 +37,32 @@ columns play no part.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import components, shuffle_partitions, staged
+from gridpulse.llm.common import components, staged
 
 WORDS = 5
 PERCENT = 80
-#: Points a task joins at a time; larger regions are dealt into block pairs.
+#: Points, and shingles of all points, that a task joins at a time.
 MAX_REGION = 4000
+MAX_SHINGLES = 4_000_000
+#: So few points are joined in one task whatever their sizes.
+FEW = 16
 #: Points compared in one block, and pivots tried on a larger region.
 BLOCK = 512
 PIVOTS = 8
-LEVEL_RATIO = 1.3
+#: A part of a region with more than this share of its points counts as not split.
+STUCK = 0.9
 MAX_WORD_HASHES = 1_000_000
+#: Shingle rows in one Arrow batch, about.
+BATCH_ROWS = 500_000
 
 _U = np.uint64
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -90,103 +99,91 @@ class Shingler:
         return np.unique(out)
 
 
-class Cells:
-    """The cells on which linked sets agree, by size level."""
-
-    def __init__(self, percent: int) -> None:
-        self.percent = percent
-        self.starts, self.cells, self.slack = [1], [], []
-
-    def _grow(self, n: int) -> None:
-        while self.starts[-1] <= n:
-            low = self.starts[-1]
-            high = max(low + 1, math.ceil(low * LEVEL_RATIO))
-            differ = 2 * (high - 1) * (100 - self.percent) // (100 + self.percent)
-            slack = 0
-            while differ:  # so many cells may be empty before empty ones must count
-                cells = differ + 1 + slack
-                mean = cells * math.exp(-low / cells)
-                need = math.ceil(mean + 3 * math.sqrt(mean)) + 1
-                if slack >= need or slack > 2 * differ + 4:
-                    break
-                slack += 1
-            self.starts.append(high)
-            self.cells.append(differ + 1 + slack)
-            self.slack.append(slack)
-
-    def levels(self, n: int) -> list[int]:
-        """The level of size ``n``, and the next if a linked larger set may lie there."""
-        self._grow(2 * n + 2)
-        level = int(np.searchsorted(self.starts, n, side="right")) - 1
-        return [c for c in (level, level + 1) if c == level or 100 * n >= self.percent * self.starts[c]]
-
-    def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        """One 64-bit hash per (level, cell) with the cell's whole content."""
-        out = []
-        with np.errstate(over="ignore"):
-            mixed = _mix(shingles + _U(0x632BE59BD9B4E019))
-            for level in self.levels(len(shingles)):
-                cells = self.cells[level]
-                cell = ((mixed >> _U(20)) % _U(cells)).astype(np.int64)
-                order = np.argsort(cell, kind="stable")
-                cell = cell[order]
-                first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-                content = np.add.reduceat(mixed[order], first)
-                names = cell[first]
-                if cells - len(first) > self.slack[level]:
-                    empty = np.setdiff1d(np.arange(cells), names)
-                    names = np.concatenate([names, empty])
-                    content = np.concatenate([content, np.zeros(len(empty), dtype=_U)])
-                tag = _mix(names.astype(_U) + _U(level + 1) * _U(0x100000001))
-                out.append(_mix(content ^ tag))
-        return np.concatenate(out)
-
-
-def _shingled(words: int, percent: int):
+def digest_of(shingles: np.ndarray) -> bytes | None:
+    """128-bit digest of a set; None if it is empty."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
+def _points(words: int):
+    """Documents -> their number of shingles and the digest of their set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, cells, seen = Shingler(words), Cells(percent), set()
+        shingle = Shingler(words)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            sizes, keys, cut = [], [], []
-            for doc_id, text in zip(ids, batch.column(1).to_pylist()):
-                s = shingle(text)
-                key = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+            sizes, keys = [], []
+            for text in batch.column(1):
+                s = shingle(text.as_py())
                 sizes.append(len(s))
-                keys.append(key)
-                # copies within the task enter the cells once
-                if key is None or doc_id is None or key in seen:
-                    cut.append(None)
-                else:
+                keys.append(digest_of(s))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "n_shingles", "key"])
+
+    return run
+
+
+def _point(key: bytes) -> int:
+    return int.from_bytes(key[:8], "big", signed=True)
+
+
+def _flat(held: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """(shingles, value) pairs as rows of one shingle and the value."""
+    sizes = [len(s) for s, _ in held]
+    hashes = np.concatenate([s for s, _ in held]).view(np.int64)
+    values = pa.array([v for _, v in held]).take(pa.array(np.repeat(np.arange(len(held)), sizes)))
+    return pa.RecordBatch.from_arrays([pa.array(hashes), values], names=names)
+
+
+def _shingle_rows(words: int):
+    """Documents -> a row (shingle, point) for every shingle; copies within a task enter once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, seen, held, rows = Shingler(words), set(), [], 0
+        for batch in batches:
+            for text in batch.column(1):
+                s = shingle(text.as_py())
+                key = digest_of(s)
+                if key is not None and key not in seen:
                     seen.add(key)
-                    cut.append(cells.signatures(s).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(cut, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "key", "cells"],
-            )
+                    held.append((s, _point(key)))
+                    rows += len(s)
+                    if rows > BATCH_ROWS:
+                        yield _flat(held, ["h", "point"])
+                        held, rows = [], 0
+        if held:
+            yield _flat(held, ["h", "point"])
 
     return run
 
 
-def _pivot_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (cell, id) -> (pivot, id) for every id that is not its cell's first."""
-    last_cell, pivot = None, None
+def _sets(words: int):
+    """(key, first, text) -> the set of each point; other texts of the same id are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(words)
+        for batch in batches:
+            kept, sets = [], []
+            for i, (key, text) in enumerate(zip(batch.column(0), batch.column(2))):
+                s = shingle(text.as_py())
+                if digest_of(s) == key.as_py():
+                    kept.append(i)
+                    sets.append(s.tobytes())
+            chosen = [batch.column(c).take(pa.array(kept, pa.int64())) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*chosen, pa.array(sets, pa.binary())], names=["key", "first", "shingles"])
+
+    return run
+
+
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Staged sets -> a row (shingle, key) for every shingle."""
+    held, rows = [], 0
     for batch in batches:
-        cell = batch.column(0).to_numpy(zero_copy_only=False)
-        node = batch.column(1).to_numpy(zero_copy_only=False)
-        if not len(cell):
-            continue
-        new = np.concatenate([[cell[0] != last_cell], cell[1:] != cell[:-1]])
-        start = np.maximum.accumulate(np.where(new, np.arange(len(cell)), -1))
-        pivots = np.where(start >= 0, node[np.maximum(start, 0)], 0 if pivot is None else pivot)
-        last_cell, pivot = cell[-1], pivots[-1]
-        found = pivots != node
-        pairs = np.unique(np.stack([pivots[found], node[found]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["pivot", "node"])
+        for key, shingles in zip(batch.column(0), batch.column(1)):
+            held.append((np.frombuffer(shingles.as_py(), dtype=_U), key.as_py()))
+            rows += len(held[-1][0])
+            if rows > BATCH_ROWS:
+                yield _flat(held, ["h", "key"])
+                held, rows = [], 0
+    if held:
+        yield _flat(held, ["h", "key"])
 
 
 class Region:
@@ -211,6 +208,11 @@ class Region:
             self.root[max(a, b)] = min(a, b)
             self.edges.append((i, j))
 
+    def join_roots(self, i: int, j: int) -> None:
+        """Put two points into one component without a link."""
+        a, b = self.find(i), self.find(j)
+        self.root[max(a, b)] = min(a, b)
+
     def shared(self, pivot: int, members: np.ndarray) -> np.ndarray:
         """Shingles that each member has in common with the pivot."""
         flat = np.concatenate([self.sets[i] for i in members])
@@ -284,23 +286,178 @@ class Region:
                             self.compare(a, b)
 
 
-def _joined(words: int, percent: int):
+def _region_of(group: pd.DataFrame, percent: int) -> tuple["Region", np.ndarray]:
+    """The points of a group, those of one component joined; and their ids."""
+    region = Region([np.frombuffer(s, dtype=_U) for s in group["shingles"]], percent)
+    for same in group.groupby("component").indices.values():
+        for i in same[1:].tolist():
+            region.join_roots(int(same[0]), i)
+    return region, group["first"].to_numpy()
+
+
+def _pairs(region: "Region", ids: np.ndarray) -> pd.DataFrame:
+    pairs = [(ids[i], ids[j]) for i, j in region.edges if ids[i] != ids[j]]
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+
+def _joined(percent: int):
+    """A region's points -> links that join its components: ``a, b`` (ids)."""
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        shingle = Shingler(words)
-        ids = group["node"].to_numpy()
-        sets = [shingle(t) for t in group["text"]]
-        full = np.array([i for i, s in enumerate(sets) if len(s)], dtype=np.int64)
+        region, ids = _region_of(group, percent)
+        everything = np.arange(len(ids))
+        region.measure(int(group["key"].argmin()), everything)
+        region.join(everything)
+        return _pairs(region, ids)
+
+    return run
+
+
+def _compared(percent: int):
+    """Points of a dense region, some ``outside`` its largest component -> links of these with any."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        region, ids = _region_of(group, percent)
+        outside = np.flatnonzero(group["outside"].to_numpy())
+        everything = np.arange(len(ids))
+        for rows in (outside[i : i + BLOCK] for i in range(0, len(outside), BLOCK)):
+            for columns in (everything[i : i + BLOCK] for i in range(0, len(ids), BLOCK)):
+                if region.split_up(np.concatenate([rows, columns])):
+                    region.compare(rows, columns)
+        return _pairs(region, ids)
+
+    return run
+
+
+_SPLIT = "a long, b long, region binary, parent binary, parent_points long, key binary, first long, shingles binary"
+_SPLIT_COLUMNS = [c.split()[0] for c in _SPLIT.split(", ")]
+
+
+def _voronoi(percent: int):
+    """Pivots and some points of a region -> links with the pivots, and the points in the
+    regions of their nearest pivot and of those at most ``2 eps`` farther."""
+
+    def run(pivots: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        if not len(points):
+            return pd.DataFrame(columns=_SPLIT_COLUMNS)
+        sets = [np.frombuffer(s, dtype=_U) for s in [*pivots["shingles"], *points["shingles"]]]
+        ids = [*pivots["first"], *points["first"]]
         region = Region(sets, percent)
-        pivot = np.flatnonzero(ids == group["pivot"].iloc[0])
-        if len(pivot) and len(full) and len(sets[pivot[0]]):
-            region.measure(int(pivot[0]), full)
-        region.join(full)
-        pairs = [(ids[i], ids[j]) for i, j in region.edges if ids[i] != ids[j]]
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+        members = np.arange(len(pivots), len(sets))
+        d = np.stack([region.measure(p, members) for p in range(len(pivots))])
+        near = d <= d.min(axis=0) + 2 * region.eps + 1e-9
+        links = [(ids[i], ids[j], *[None] * 6) for i, j in region.edges if ids[i] != ids[j]]
+        old, size = bytes(points["region"].iloc[0]), int(points["points"].iloc[0])
+        names = [hashlib.blake2b(old + bytes(k), digest_size=16).digest() for k in pivots["key"]]
+        rows = zip(points["key"], points["first"], points["shingles"])
+        placed = [
+            (None, None, names[p], old, size, key, first, shingles)
+            for i, (key, first, shingles) in enumerate(rows)
+            for p in np.flatnonzero(near[:, i]).tolist()
+        ]
+        out = pd.DataFrame(links + placed, columns=_SPLIT_COLUMNS)
+        return out.astype({c: "Int64" for c in ("a", "b", "parent_points", "first")})
 
     return run
 
 
+def _lone_points(rows: DataFrame, words: int) -> DataFrame:
+    """``point, alone``: how many of a point's shingles no other point has."""
+    shingles = rows.mapInArrow(_shingle_rows(words), "h long, point long")
+    holders = shingles.groupBy("h").agg(F.min("point").alias("point"), F.max("point").alias("other"))
+    return holders.where("point = other").groupBy("point").agg(F.count("*").alias("alone"))
+
+
+def _regions(sets: DataFrame, percent: int) -> DataFrame:
+    """``region, key``: the pivots at which each point meets others (a region is named by its pivot)."""
+    shingles = sets.select("key", "shingles").mapInArrow(_set_rows, "h long, key binary")
+    held = shingles.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = shingles.join(held, "h").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))
+    # of the first n - ceil(t n) + 1 shingles, those that no other point has make no region
+    size = F.octet_length("shingles") / 8
+    least = F.expr(f"(size * {percent} + 99) div 100")
+    first = F.slice("shared", 1, F.greatest(F.lit(0), F.size("shared") - F.col("least") + 1).cast("int"))
+    sizes = sets.select("key", size.cast("long").alias("size")).withColumn("least", least)
+    tokens = staged(ordered.join(sizes, "key").select("key", F.explode(F.transform(first, lambda x: x["h"])).alias("h")), "rare-shingles")
+    pivots = tokens.groupBy("h").agg(F.min("key").alias("region"), F.count("*").alias("points")).where("points > 1")
+    met = tokens.join(pivots, "h").select("region", "key").distinct()
+    alone = met.groupBy(F.col("region").alias("r")).agg(F.count("*").alias("points")).where("points > 1")
+    return met.join(alone, F.col("region") == F.col("r")).select("region", "key")
+
+
+def _sized(regions: DataFrame, max_region: int) -> DataFrame:
+    """Regions' points with the number of the region's points and whether one task joins them."""
+    shingles = F.sum(F.octet_length("shingles") / 8)
+    sizes = regions.groupBy(F.col("region").alias("r")).agg(F.count("*").alias("points"), shingles.alias("weight")).where("points > 1")
+    small = (F.col("points") <= FEW) | ((F.col("points") <= max_region) & (F.col("weight") <= MAX_SHINGLES))
+    parts = F.ceil(F.greatest(F.col("points") / max_region, F.col("weight") / MAX_SHINGLES)).cast("int")
+    return regions.join(sizes.select("r", "points", small.alias("small"), parts.alias("parts")), F.col("region") == F.col("r")).drop("r")
+
+
+def _with_components(points: DataFrame, found: DataFrame) -> DataFrame:
+    """Points of the regions that lie in more than one component, with their component."""
+    known = points.join(found, F.col("first") == F.col("node"), "left")
+    known = known.withColumn("component", F.coalesce("component", "first")).drop("node")
+    apart = known.groupBy(F.col("region").alias("r")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return known.join(apart.where("low <> high").select("r"), F.col("region") == F.col("r")).drop("r")
+
+
+def _dense_links(points: DataFrame, percent: int, max_region: int) -> DataFrame:
+    """Links of the points outside their region's largest component with all of the region."""
+    sizes = points.groupBy(F.col("region").alias("r"), F.col("component").alias("c")).agg(F.count("*").alias("n"))
+    main = sizes.groupBy("r").agg(F.max_by("c", F.struct("n", "c")).alias("main"), (F.sum("n") - F.max("n")).alias("rest"))
+    blocks = F.ceil(F.col("rest") / max_region).cast("int")
+    points = points.join(main.select("r", "main", blocks.alias("blocks")), F.col("region") == F.col("r"))
+    points = points.withColumn("outside", F.col("component") != F.col("main")).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    columns = ["region", "block", "part", "key", "first", "shingles", "component", "outside"]
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # each block of outside points goes to every part, and each part's other points to every block
+    block = F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int")
+    rest = points.where("outside").withColumn("block", block).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    most = points.withColumn("block", every).where(~F.col("outside") | (block != F.col("block")))
+    met = rest.select(columns).unionByName(most.withColumn("outside", F.lit(False)).select(columns))
+    return met.groupBy("region", "block", "part").applyInPandas(_compared(percent), "a long, b long")
+
+
+def _links(regions: DataFrame, percent: int, max_region: int) -> DataFrame:
+    """Links that join the components of all regions; ``regions``: region, key, first, shingles."""
+    links, pivot_links, level = [], [], 0
+    regions = regions.withColumn("component", F.col("first"))
+    while True:
+        sized = staged(_sized(regions, max_region), "regions")
+        links.append(sized.where("small").groupBy("region").applyInPandas(_joined(percent), "a long, b long"))
+        large = sized.where("not small")
+        if large.isEmpty():
+            break
+        chosen = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(level)), "key")
+        pivots = large.withColumn("n", F.row_number().over(chosen)).where(F.col("n") <= PIVOTS)
+        # the pivots go to every part of their region; a part is what one task measures
+        every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        pivots = pivots.select("region", every, "key", "first", "shingles")
+        parts = large.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+        measured = pivots.groupBy("region", "part").cogroup(parts.groupBy("region", "part")).applyInPandas(_voronoi(percent), _SPLIT)
+        measured = staged(measured, "voronoi")
+        pivot_links.append(measured.where("a is not null").select("a", "b"))
+        found = staged(components(_union(pivot_links)), "region-components")
+
+        placed = measured.where("a is null")
+        sizes = placed.groupBy("region", "parent").agg(F.count("*").alias("n"), F.max("parent_points").alias("of"))
+        dense = sizes.where(F.col("n") > STUCK * F.col("of")).select(F.col("parent").alias("dense")).distinct()
+        whole = large.drop("component", "small").join(dense, F.col("region") == F.col("dense"), "left_semi")
+        links.append(_dense_links(_with_components(whole, found), percent, max_region))
+        regions = placed.join(dense, F.col("parent") == F.col("dense"), "left_anti")
+        regions = _with_components(regions.select("region", "key", "first", "shingles"), found)
+        level += 1
+    return _union(links + pivot_links)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -311,65 +468,29 @@ def jaccard_components(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``: the smallest id
     reachable by links of Jaccard similarity of at least ``percent`` in a hundred."""
-    parts = shuffle_partitions(docs.sparkSession)
+    if not 0 < percent <= 100:
+        raise ValueError("percent is from 1 to 100")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    points = staged(
-        rows.mapInArrow(_shingled(words, percent), "doc_id long, n_shingles long, key binary, cells array<long>"), "shingles"
-    )
-    copies = staged(
-        points.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first")), "copies"
-    )
-    met = (
-        points.where("cells is not null")
-        .select(F.explode("cells").alias("cell"), F.col("doc_id").alias("node"))
-        .repartition(parts, "cell")
-        .sortWithinPartitions("cell", "node")
-        .mapInArrow(_pivot_runs, "pivot long, node long")
-        .distinct()
-    )
-    # copies that different tasks entered are one point
-    first = points.where("cells is not null").join(copies, "key").select("doc_id", "first").where("doc_id <> first")
-    moved = staged(first.groupBy("doc_id").agg(F.min("first").alias("first")), "moved")
-    met = (
-        met.join(moved.withColumnRenamed("doc_id", "node"), "node", "left")
-        .withColumn("node", F.coalesce("first", "node"))
-        .drop("first")
-        .join(moved.withColumnRenamed("doc_id", "pivot"), "pivot", "left")
-        .select(F.coalesce("first", "pivot").alias("pivot"), "node")
-        .where("pivot <> node")
-        .distinct()
-    )
-    # regions that share a point are one, so that every text goes to one place
-    met = components(met, "pivot", "node").select(F.col("component").alias("pivot"), "node").where("pivot <> node")
-    met = staged(met, "regions")
-    sizes = met.groupBy("pivot").agg(F.ceil((F.count("*") + 1) / max_region).cast("int").alias("blocks"))
-    # a region of several blocks is joined block pair by block pair; its pivot goes to each
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = met.join(sizes, "pivot").select(
-        "pivot",
-        "node",
-        F.explode(F.transform(others, lambda j: F.struct(F.least(block, j).alias("i"), F.greatest(block, j).alias("j")))).alias("at"),
-    )
-    pivots = sizes.select(
-        "pivot",
-        F.col("pivot").alias("node"),
-        F.explode(
-            F.flatten(F.transform(others, lambda i: F.transform(F.sequence(i, F.col("blocks") - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-        ).alias("at"),
-    )
-    members = placed.union(pivots).groupBy("node").agg(F.collect_set(F.struct("pivot", "at")).alias("places"))
-    placed_texts = (
-        rows.where("doc_id is not null")
-        .join(members.hint("merge"), F.col("doc_id") == F.col("node"))  # the same plan at every size
-        .select("node", "text", F.explode("places").alias("place"))
-        .select("node", "text", "place.pivot", "place.at.i", "place.at.j")
-    )
-    links = placed_texts.groupBy("pivot", "i", "j").applyInPandas(_joined(words, percent), "a long, b long")
-    found = components(links)
+    points = staged(rows.mapInArrow(_points(words), "doc_id long, n_shingles long, key binary"), "points")
+    named = points.where("key is not null and doc_id is not null")
+    copies = staged(named.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n")), "copies")
+
+    lone = _lone_points(rows.where("doc_id is not null"), words)
+    point = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
+    social = copies.withColumn("at", point).join(lone, F.col("at") == F.col("point"), "left")
+    social = social.where(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= percent * F.col("n")).select("key", "first")
+    texts = rows.join(social, F.col("doc_id") == F.col("first")).select("key", "first", "text")
+    sets = texts.mapInArrow(_sets(words), "key binary, first long, shingles binary")
+    sets = staged(sets.dropDuplicates(["key"]), "sets")
+
+    met = _regions(sets, percent)
+    links = _links(met.join(sets, "key").select("region", "key", "first", "shingles"), percent, max_region)
+    # an id with several texts joins what each of them is linked with
+    several = named.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    own = named.join(several.select("doc_id"), "doc_id").join(copies, "key").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    found = components(links.unionByName(own))
     return (
-        points.select("doc_id", "n_shingles", "key")
-        .join(copies, "key", "left")
+        points.join(copies, "key", "left")
         .join(found, F.col("first") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "first", "doc_id").alias("component_id"))
     )
