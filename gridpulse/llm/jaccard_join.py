@@ -5,10 +5,11 @@ Documents are sets of distinct word shingles in the Jaccard metric
 The answer is exact: every document gets its component under all such links.
 
 1. Copies.  Documents with the same set are one point (equal 128-bit digest).
-2. Lone points.  A linked point has at most ``eps`` of its shingles to itself.
-   Shingles of one point only are counted by an aggregate over all shingles;
-   points with more of them link with nothing and are done.  Only the others'
-   texts are fetched, once, and their sets staged.
+2. Lone points.  In the order of their hashes, two linked sets have at least
+   ``SPARE`` of their shingles in common among their first ``1 - t + SPARE`` (see
+   :func:`prefix`).  Those of one point only are counted by an aggregate over these
+   first shingles; points with too many of them link with nothing and are done.
+   Only the others' texts are fetched, once, and their sets staged.
 3. Pivots.  Shingles are ordered by the number of points that hold them.  Two
    linked sets share one of their first ``n - ceil(t n) + 1`` shingles in any common
    order; the points that have a shingle among those meet at its pivot, the one of
@@ -60,6 +61,8 @@ BLOCK = 512
 PIVOTS = 8
 #: A part of a region with more than this share of its points counts as not split.
 STUCK = 0.9
+#: One in so many shingles more than needed is looked at to find lone points.
+SPARE = 10
 MAX_WORD_HASHES = 1_000_000
 #: Shingle rows in one Arrow batch, about.
 BATCH_ROWS = 500_000
@@ -132,8 +135,19 @@ def _flat(held: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(hashes), values], names=names)
 
 
-def _shingle_rows(words: int):
-    """Documents -> a row (shingle, point) for every shingle; copies within a task enter once."""
+def prefix(n: int, percent: int) -> tuple[int, int]:
+    """How many of a set's ``n`` shingles (in a fixed order of all shingles) are looked at, and
+    how many of those any linked set has among its own.
+
+    Linked sets of sizes n and m share at least ``ceil(t max(n, m))`` shingles, so the k-th shared
+    one is among the first ``n - ceil(t n) + k`` of the one and ``m - ceil(t m) + k`` of the other;
+    and m is at least ``ceil(t n)``."""
+    least = -(-percent * n // 100)
+    return min(n, n - least + n // SPARE + 1), min(least, least // SPARE + 1)
+
+
+def _shingle_rows(words: int, percent: int):
+    """Documents -> a row (shingle, point) for each of the first shingles; copies within a task enter once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, seen, held, rows = Shingler(words), set(), [], 0
@@ -143,8 +157,8 @@ def _shingle_rows(words: int):
                 key = digest_of(s)
                 if key is not None and key not in seen:
                     seen.add(key)
-                    held.append((s, _point(key)))
-                    rows += len(s)
+                    held.append((s[: prefix(len(s), percent)[0]], _point(key)))
+                    rows += len(held[-1][0])
                     if rows > BATCH_ROWS:
                         yield _flat(held, ["h", "point"])
                         held, rows = [], 0
@@ -155,17 +169,22 @@ def _shingle_rows(words: int):
 
 
 def _sets(words: int):
-    """(key, first, text) -> the set of each point; other texts of the same id are left out."""
+    """(key, first, text), rows of one id together -> the set of each point, once; other texts
+    of the same id are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
+        shingle, last, seen = Shingler(words), None, set()
         for batch in batches:
             kept, sets = [], []
-            for i, (key, text) in enumerate(zip(batch.column(0), batch.column(2))):
-                s = shingle(text.as_py())
-                if digest_of(s) == key.as_py():
-                    kept.append(i)
-                    sets.append(s.tobytes())
+            for i, (key, first, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))):
+                if first != last:
+                    last, seen = first, set()
+                if key not in seen:
+                    s = shingle(text.as_py())
+                    if digest_of(s) == key:
+                        seen.add(key)
+                        kept.append(i)
+                        sets.append(s.tobytes())
             chosen = [batch.column(c).take(pa.array(kept, pa.int64())) for c in (0, 1)]
             yield pa.RecordBatch.from_arrays([*chosen, pa.array(sets, pa.binary())], names=["key", "first", "shingles"])
 
@@ -173,17 +192,17 @@ def _sets(words: int):
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Staged sets -> a row (shingle, key) for every shingle."""
+    """Staged sets -> a row (shingle, number) for every shingle."""
     held, rows = [], 0
     for batch in batches:
-        for key, shingles in zip(batch.column(0), batch.column(1)):
-            held.append((np.frombuffer(shingles.as_py(), dtype=_U), key.as_py()))
+        for number, shingles in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held.append((np.frombuffer(shingles.as_py(), dtype=_U), number))
             rows += len(held[-1][0])
             if rows > BATCH_ROWS:
-                yield _flat(held, ["h", "key"])
+                yield _flat(held, ["h", "number"])
                 held, rows = [], 0
     if held:
-        yield _flat(held, ["h", "key"])
+        yield _flat(held, ["h", "number"])
 
 
 class Region:
@@ -361,28 +380,26 @@ def _voronoi(percent: int):
     return run
 
 
-def _lone_points(rows: DataFrame, words: int) -> DataFrame:
-    """``point, alone``: how many of a point's shingles no other point has."""
-    shingles = rows.mapInArrow(_shingle_rows(words), "h long, point long")
+def _lone_points(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``point, alone``: how many of a point's first shingles are among no other point's."""
+    shingles = rows.mapInArrow(_shingle_rows(words, percent), "h long, point long")
     holders = shingles.groupBy("h").agg(F.min("point").alias("point"), F.max("point").alias("other"))
     return holders.where("point = other").groupBy("point").agg(F.count("*").alias("alone"))
 
 
 def _regions(sets: DataFrame, percent: int) -> DataFrame:
     """``region, key``: the pivots at which each point meets others (a region is named by its pivot)."""
-    shingles = sets.select("key", "shingles").mapInArrow(_set_rows, "h long, key binary")
-    held = shingles.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = shingles.join(held, "h").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))
+    shingles = sets.select("number", "shingles").mapInArrow(_set_rows, "h long, number long")
+    held = shingles.withColumn("df", F.count("*").over(Window.partitionBy("h"))).where("df > 1")
+    ordered = held.groupBy("number").agg(F.sort_array(F.collect_list(F.struct(F.col("df").cast("int"), "h"))).alias("shared"))
     # of the first n - ceil(t n) + 1 shingles, those that no other point has make no region
-    size = F.octet_length("shingles") / 8
-    least = F.expr(f"(size * {percent} + 99) div 100")
+    size = (F.octet_length("shingles") / 8).cast("long")
+    sizes = sets.select("number", "key", size.alias("size")).withColumn("least", F.expr(f"(size * {percent} + 99) div 100"))
     first = F.slice("shared", 1, F.greatest(F.lit(0), F.size("shared") - F.col("least") + 1).cast("int"))
-    sizes = sets.select("key", size.cast("long").alias("size")).withColumn("least", least)
-    tokens = staged(ordered.join(sizes, "key").select("key", F.explode(F.transform(first, lambda x: x["h"])).alias("h")), "rare-shingles")
+    tokens = ordered.join(sizes, "number").select("key", F.explode(F.transform(first, lambda x: x["h"])).alias("h"))
+    tokens = staged(tokens, "rare-shingles")
     pivots = tokens.groupBy("h").agg(F.min("key").alias("region"), F.count("*").alias("points")).where("points > 1")
-    met = tokens.join(pivots, "h").select("region", "key").distinct()
-    alone = met.groupBy(F.col("region").alias("r")).agg(F.count("*").alias("points")).where("points > 1")
-    return met.join(alone, F.col("region") == F.col("r")).select("region", "key")
+    return tokens.join(pivots, "h").select("region", "key").distinct()
 
 
 def _sized(regions: DataFrame, max_region: int) -> DataFrame:
@@ -475,13 +492,17 @@ def jaccard_components(
     named = points.where("key is not null and doc_id is not null")
     copies = staged(named.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n")), "copies")
 
-    lone = _lone_points(rows.where("doc_id is not null"), words)
+    lone = _lone_points(rows.where("doc_id is not null"), words, percent)
     point = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
     social = copies.withColumn("at", point).join(lone, F.col("at") == F.col("point"), "left")
-    social = social.where(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= percent * F.col("n")).select("key", "first")
-    texts = rows.join(social, F.col("doc_id") == F.col("first")).select("key", "first", "text")
+    least = F.expr(f"(n * {percent} + 99) div 100")
+    looked = F.least(F.col("n"), F.col("n") - least + F.expr(f"n div {SPARE}") + 1)
+    needed = F.least(least, F.floor(least / SPARE) + 1)
+    social = social.where(looked - F.coalesce("alone", F.lit(0)) >= needed).select("key", "first")
+    # a merge join brings the rows of one id together
+    texts = rows.join(social.hint("merge"), F.col("doc_id") == F.col("first")).select("key", "first", "text")
     sets = texts.mapInArrow(_sets(words), "key binary, first long, shingles binary")
-    sets = staged(sets.dropDuplicates(["key"]), "sets")
+    sets = staged(sets.withColumn("number", F.monotonically_increasing_id()), "sets")
 
     met = _regions(sets, percent)
     links = _links(met.join(sets, "key").select("region", "key", "first", "shingles"), percent, max_region)

@@ -46,6 +46,9 @@ MAX_OPEN = 100_000
 MAX_PIECES = 500_000
 MAX_CHUNKS = 500_000
 
+# Marks that are a pre-token of their own behind a word.
+_MARKS = frozenset(",.;:!?)")
+
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = _PIECE + ", bin long, offset long, done boolean, home int"
 
@@ -127,21 +130,38 @@ class Ids:
                 self.words[w] = raw[at:end]
                 at = end
 
+    def _pre_tokens(self, new: list[str]) -> list[list[str]]:
+        """Pre-tokens of chunks. All are normalised at once; a run of letters, also with one mark
+        behind it, needs no pattern."""
+        out = []
+        for c in lower(unicodedata.normalize("NFC", "\n".join(new))).split("\n"):
+            if c.isalpha():
+                out.append([c])
+            elif c[-1] in _MARKS and c[:-1].isalpha():
+                out.append([c[:-1], c[-1]])
+            else:
+                out.append(self.split.findall(c))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """White space only separates tokens in this vocabulary, so chunks encode on their own."""
         if len(self.chunks) > self.max_chunks:
             self.chunks, self.words = {}, {}
         cut = [chunks(t) for t in texts]
-        parts = {}
-        for c in {c for cs in cut for c in cs if c not in self.chunks}:
-            if "<|" in c:  # may hold a special string
-                self.chunks[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            else:
-                parts[c] = self.split.findall(lower(unicodedata.normalize("NFC", c)))
-        self._learn(list({w for ws in parts.values() for w in ws if w not in self.words}))
-        for c, ws in parts.items():
-            self.chunks[c] = b"".join(map(self.words.__getitem__, ws))
-        return [b"".join(map(self.chunks.__getitem__, cs)) for cs in cut]
+        known = self.chunks
+        new = list({c for cs in cut for c in cs}.difference(known))
+        special = [c for c in new if "<|" in c]  # may hold a special string
+        for c in special:
+            known[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if special:
+            new = [c for c in new if c not in known]
+        if new:
+            parts = self._pre_tokens(new)
+            words = self.words
+            self._learn(list({w for ws in parts for w in ws}.difference(words)))
+            for c, ws in zip(new, parts):
+                known[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+        return [b"".join(map(known.__getitem__, cs)) for cs in cut]
 
 
 def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:

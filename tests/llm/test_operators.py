@@ -129,11 +129,43 @@ def check_layout(got, capacity=2048):
         assert list(seq["offset"]) == [0, *ends[:-1]]
 
 
-def test_packing_with_few_open_bins_keeps_every_piece(spark):
+def test_packing_of_more_open_bins_than_a_task_takes(spark):
     rows = [(i, "word " * (1 + i % 900)) for i in range(400)]
-    got = packing.pack(clashing(spark, rows).repartition(20), WORDS, max_open=2).toPandas()
-    assert len(got) == 400
+    one = packing.pack(clashing(spark, rows).repartition(20), WORDS).toPandas()
+    got = packing.pack(clashing(spark, rows).repartition(20), WORDS, max_pieces=10).toPandas()
+    assert len(got) == len(one) == 400
     check_layout(got)
+    total = int(got["length"].sum())
+    assert got["sequence_id"].nunique() <= 1.02 * total / 2048 + 2
+    # lengths that fill a sequence only together, read by different tasks
+    rows = [(i, "word " * (1099 if i < 160 else 899)) for i in range(320)]
+    df = clashing(spark, rows).repartitionByRange(16, "doc_id")
+    got = packing.pack(df, WORDS).toPandas()
+    check_layout(got)
+    assert len(got) == 320 and got["sequence_id"].nunique() == 160
+
+
+def test_best_fit_by_counts_places_every_item_once():
+    rng = random.Random(9)
+    for _ in range(60):
+        capacity = rng.choice([10, 64])
+        lengths = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(80))]
+        counts = {n: lengths.count(n) for n in set(lengths)}
+        places = {}
+        for length, low, high, sequence, each, offset in packing.best_fit_counts(counts, capacity):
+            for i in range(low, high):
+                own = i - low
+                places[length, i] = (sequence + own // each, offset + own % each * length)
+        assert sorted(places) == sorted((n, i) for n in counts for i in range(counts[n]))
+        taken = {}
+        for (length, _), (sequence, at) in places.items():
+            cells = taken.setdefault(sequence, set())
+            assert at + length <= capacity and not cells & set(range(at, at + length))
+            cells.update(range(at, at + length))
+        for cells in taken.values():
+            assert cells == set(range(len(cells)))  # no gaps
+        bins, _ = packing.best_fit(np.array(lengths, dtype=np.int64), capacity) if lengths else (np.array([]), None)
+        assert len(taken) <= len(set(bins.tolist())) + 1
 
 
 def test_best_fit_takes_the_fullest_bin_with_room():
@@ -181,6 +213,24 @@ def test_jaccard_block_pairs_and_recursion(spark, monkeypatch):
     assert [region.find(i) for i in range(len(rows))] == [c for _, _, c in want]
 
 
+def test_prefixes_hold_what_linked_sets_share():
+    rng = random.Random(8)
+    for _ in range(3000):
+        percent, n = rng.choice([5, 30, 60, 80, 90, 100]), rng.randrange(1, 120)
+        x = set(rng.sample(range(10_000), n))
+        y = (x - set(rng.sample(sorted(x), rng.randrange(n // 4 + 1)))) | set(rng.sample(range(10_000), rng.randrange(n // 4 + 1)))
+        if y and 100 * len(x & y) >= percent * len(x | y):
+            (p, need), (q, other) = (jaccard_join.prefix(len(s), percent) for s in (x, y))
+            common = set(sorted(x)[:p]) & set(sorted(y)[:q])
+            assert len(common) >= max(1, min(need, other)) and need <= p
+
+
+def test_jaccard_of_repeated_ids(spark):
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g h"), (2, "p q r s t u v w"), (3, "p q r s t u v w"), (4, "k l m n")] + [(5, "x y z w x y z")] * 40
+    got = rows_of(jaccard_join.jaccard_components(clashing(spark, rows).repartition(4), words=2, percent=80), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == brute.jaccard(rows, 2, 80)
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.jaccard_components(empty(spark)).count() == 0
 
