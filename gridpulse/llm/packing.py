@@ -2,14 +2,17 @@
 
 Documents are tokenized and cut into pieces of at most ``capacity`` tokens in
 the task that reads them.  Each task packs its pieces best-fit (longest first,
-into the fullest bin that still has room), gives out the bins that are nearly
-full, and leaves the rest open.  Open bins then act as items: groups of
-``FAN_IN`` tasks bring theirs together and pack them best-fit again, round by
-round up a tree, until one task is left and its bins are given out too.  Between
-rounds the pieces are staged in the shared folder.
-
-A task keeps at most ``MAX_OPEN`` bins open, the emptiest ones; fuller ones are
-given out as they are, so no task grows with the input and no piece is lost.
+into the fullest bin that still has room) and gives out the bins that are nearly
+full.  Bins left underfull become items of the next round, as they are or, if much
+of them is free, item by item again.  Groups of ``FAN_IN`` tasks bring their items
+together and pack them best-fit again, round by round up a tree, as long as a
+group's items fit a task.  Between rounds the pieces are staged in the shared
+folder.
+
+The last round packs all items that are left, however many, from their counts per
+length: best-fit runs over at most ``capacity`` lengths instead of single items and
+gives ranges of sequences, to which items go by their rank among those of their
+length.  So no task and no cap depends on the number of open bins.
 
 Defined cases: null text is empty and gives one piece that holds only the end
 id.  Every row gives its own pieces, also when ids repeat or are null.  An empty
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.llm.common import staged
 from gridpulse.llm.token_counts import SPLIT, chunks, lower
+from gridpulse.operators.distribution import BEFORE, rows_before
 
 CAPACITY = 2048
 #: The id that ends a document.
@@ -41,10 +45,16 @@ END_ID = 0
 #: A bin with fewer free tokens than this counts as nearly full.
 NEARLY_FULL = 8
 FAN_IN = 8
-MAX_OPEN = 100_000
+#: A bin with more than this share of it free is taken apart for the next round.
+LOOSE = 1 / 16
 #: Pieces a task packs at a time.
 MAX_PIECES = 500_000
+#: Chunks a worker remembers, and the longest that it does.
 MAX_CHUNKS = 500_000
+LONG_CHUNK = 64
+#: Sequence numbers of the last round start here, those of a level at ``level << LEVEL_BITS``.
+LAST = 1 << 62
+LEVEL_BITS = 57
 
 # Marks that are a pre-token of their own behind a word.
 _MARKS = frozenset(",.;:!?)")
@@ -83,23 +93,65 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def _place(pieces: pd.DataFrame, capacity: int, nearly_full: int, max_open: int, home: int, base: int, last: bool) -> pd.DataFrame:
-    """Pack ``pieces`` (their ``bin`` and ``offset`` say what already lies together) anew."""
+def best_fit_counts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Best fit of any number of items from their counts per length, longest first.
+
+    Rows ``(length, low, high, sequence, each, offset)``: the items of a length with ranks from
+    ``low`` to before ``high`` go to the sequences from ``sequence`` on, ``each`` to one, from ``offset``."""
+    rows = []
+    waiting: dict[int, list[tuple[int, int]]] = {}  # free length -> ranges (first sequence, number)
+    room, made = 0, 0
+
+    def wait(free: int, sequence: int, n: int) -> None:
+        nonlocal room
+        if free and n:
+            waiting.setdefault(free, []).append((sequence, n))
+            room |= 1 << free
+
+    for length in sorted(counts, reverse=True):
+        low, left = 0, counts[length]
+        while left:
+            fits = room >> length
+            if fits:
+                free = length + (fits & -fits).bit_length() - 1
+                sequence, n = waiting[free].pop()
+                if not waiting[free]:
+                    room &= ~(1 << free)
+                taken = min(n, left)
+                rows.append((length, low, low + taken, sequence, 1, capacity - free))
+                wait(free, sequence + taken, n - taken)
+                wait(free - length, sequence, taken)
+                low, left = low + taken, left - taken
+                continue
+            each = capacity // length
+            full, rest = divmod(left, each)
+            for n, per in ((full, each), (int(rest > 0), rest)):
+                if n:
+                    rows.append((length, low, low + n * per, made, per, 0))
+                    wait(capacity - per * length, made, n)
+                    low, made = low + n * per, made + n
+            left = 0
+    return rows
+
+
+def _place(pieces: pd.DataFrame, capacity: int, nearly_full: int, home: int, base: int) -> tuple[pd.DataFrame, int]:
+    """Pack ``pieces`` (their ``bin`` and ``offset`` say what already lies together) anew;
+    also how many bin numbers from ``base`` on were used."""
     codes, item = np.unique(pieces["bin"].to_numpy(), return_inverse=True)
     lengths = pieces["length"].to_numpy()
     sums = np.bincount(item, weights=lengths, minlength=len(codes)).astype(np.int64)
     bins, at = best_fit(sums, capacity)
-    fill = np.bincount(bins, weights=sums).astype(np.int64)
-    done = np.full(len(fill), True) if last else capacity - fill < nearly_full
-    still = np.flatnonzero(~done)
-    if len(still) > max_open:
-        done[still[np.argsort(fill[still], kind="stable")[max_open:]]] = True
+    free = capacity - np.bincount(bins, weights=sums).astype(np.int64)
+    done = free < nearly_full
+    loose = ~done & (free > LOOSE * capacity)
+    apart = loose[bins]  # items that stay by themselves
+    name = np.where(apart, len(free) + np.arange(len(codes)), bins)
     out = pieces[["doc_id", "piece", "start", "length", "ids_crc32"]].copy()
-    out["bin"] = base + bins[item]
-    out["offset"] = pieces["offset"].to_numpy() + at[item]
+    out["bin"] = base + name[item]
+    out["offset"] = pieces["offset"].to_numpy() + np.where(apart, 0, at)[item]
     out["done"] = done[bins[item]]
     out["home"] = home
-    return out
+    return out, len(free) + len(codes)
 
 
 class Ids:
@@ -116,6 +168,7 @@ class Ids:
         self.ends_word[[i for t, i in marks.items() if t.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self._long: set[str] = set()
 
     def _learn(self, words: list[str]) -> None:
         """Encode new pre-tokens many at a time; every pre-token ends with one word-end token."""
@@ -149,19 +202,38 @@ class Ids:
             self.chunks, self.words = {}, {}
         cut = [chunks(t) for t in texts]
         known = self.chunks
-        new = list({c for cs in cut for c in cs}.difference(known))
+        met = {c for cs in cut for c in cs}
+        new = list(met.difference(known))
+        self._long.update(c for c in new if len(c) > LONG_CHUNK)
         special = [c for c in new if "<|" in c]  # may hold a special string
         for c in special:
             known[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if special:
             new = [c for c in new if c not in known]
         if new:
-            parts = self._pre_tokens(new)
-            words = self.words
+            words, parts = self.words, self._pre_tokens(new)
             self._learn(list({w for ws in parts for w in ws}.difference(words)))
+            if self._long:
+                self._long.update(w for ws in parts for w in ws if len(w) > LONG_CHUNK)
             for c, ws in zip(new, parts):
                 known[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-        return [b"".join(map(known.__getitem__, cs)) for cs in cut]
+        coded = [b"".join(map(known.__getitem__, cs)) for cs in cut]
+        for kept in (known, self.words):  # long ones are not remembered
+            for c in [c for c in self._long if c in kept]:
+                del kept[c]
+        self._long.clear()
+        return coded
+
+
+_LOADED: dict[str, Ids] = {}
+
+
+def _ids(vocabulary: str) -> Ids:
+    """The tokenizer of a worker, with the chunks that its tasks have met (a bounded number)."""
+    if vocabulary not in _LOADED:
+        _LOADED.clear()
+        _LOADED[vocabulary] = Ids(vocabulary)
+    return _LOADED[vocabulary]
 
 
 def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:
@@ -175,29 +247,21 @@ def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:
     return rows
 
 
-def pack(
-    docs: DataFrame,
-    vocabulary: str,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    capacity: int = CAPACITY,
-    nearly_full: int = NEARLY_FULL,
-    max_open: int = MAX_OPEN,
-) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-
-    def read_and_pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, home = Ids(vocabulary), TaskContext.get().partitionId()
-        held, turn = [], 0
+def _read_and_pack(vocabulary: str, capacity: int, nearly_full: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, home = _ids(vocabulary), TaskContext.get().partitionId()
+        held, made = [], home << 32
 
         def placed() -> pa.RecordBatch:
+            nonlocal made
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = [pa.array(c, k) for c, k in zip(zip(*held), kinds)]
             frame = pd.DataFrame({n: c.to_numpy(zero_copy_only=False) for n, c in zip(names[1:], columns[1:])})
             frame["doc_id"] = np.arange(len(held))  # ids may be null: they stay outside pandas
             frame["bin"], frame["offset"] = np.arange(len(held)), 0
-            out = _place(frame, capacity, nearly_full, max_open, home, (home << 32) + (turn << 20), False)
+            out, used = _place(frame, capacity, nearly_full, home, made)
+            made += used
             arrays = columns + [pa.array(out[c].to_numpy()) for c in ("bin", "offset", "done")]
             arrays.append(pa.array(out["home"].to_numpy(), pa.int32()))
             return pa.RecordBatch.from_arrays(arrays, names=names + ["bin", "offset", "done", "home"])
@@ -208,42 +272,80 @@ def pack(
                 held += _pieces(doc_ids[lo : lo + 500], ids.encode([t or "" for t in texts[lo : lo + 500]]), capacity)
                 if len(held) >= MAX_PIECES:
                     yield placed()
-                    held, turn = [], turn + 1
+                    held = []
         if held:
             yield placed()
 
-    def repack(last: bool, level: int):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            open_pieces = [f for f in frames if len(f)]
-            if open_pieces:
-                task = TaskContext.get().partitionId()
-                pieces = pd.concat(open_pieces, ignore_index=True)
-                home = int(pieces["home"].iloc[0])
-                yield _place(pieces, capacity, nearly_full, max_open, home, (level << 56) + (task << 32), last)
+    return run
+
+
+def _repack(capacity: int, nearly_full: int, level: int):
+    """One node of the tree: the items that came together, packed again."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_pieces = [f for f in frames if len(f)]
+        if open_pieces:
+            pieces = pd.concat(open_pieces, ignore_index=True)
+            base = (level << LEVEL_BITS) + (TaskContext.get().partitionId() << 32)
+            yield _place(pieces, capacity, nearly_full, int(pieces["home"].iloc[0]), base)[0]
 
-        return run
+    return run
 
+
+def _pack_counts(left: DataFrame, capacity: int) -> DataFrame:
+    """The last round: all items that are left, from their counts per length."""
+    items = left.groupBy("bin").agg(F.sum("length").alias("fill"))
+    items = staged(items, "open-bins")
+    counts = {int(r["fill"]): r["count"] for r in items.groupBy("fill").count().collect()}  # at most capacity rows
+    kinds = "fill long, low long, high long, sequence long, each long, at long"
+    ranges = left.sparkSession.createDataFrame(best_fit_counts(counts, capacity), kinds)
+    ranked = rows_before(items, ["fill"], "bin").select("fill", "bin", F.col(BEFORE).alias("place"))
+    # the ranges are a few per length, whatever the number of items
+    placed = ranked.join(F.broadcast(ranges), "fill").where("place >= low and place < high")
+    own = F.col("place") - F.col("low")
+    to = placed.select(
+        F.col("bin").alias("item"),
+        (F.lit(LAST) + F.col("sequence") + F.floor(own / F.col("each"))).alias("to"),
+        (F.col("at") + F.pmod(own, F.col("each")) * F.col("fill")).alias("by"),
+    )
+    return left.join(to, F.col("bin") == F.col("item")).select(
+        *[c.split()[0] for c in _PIECE.split(", ")], F.col("to").alias("bin"), (F.col("offset") + F.col("by")).alias("offset")
+    )
+
+
+def pack(
+    docs: DataFrame,
+    vocabulary: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = CAPACITY,
+    nearly_full: int = NEARLY_FULL,
+    max_pieces: int = MAX_PIECES,
+) -> DataFrame:
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = staged(rows.mapInArrow(read_and_pack, _PLACED), "packing")
-    results, level = [placed.where("done")], 1
+    placed = staged(rows.mapInArrow(_read_and_pack(vocabulary, capacity, nearly_full), _PLACED), "packing")
+    columns = [*[c.split()[0] for c in _PIECE.split(", ")], "bin", "offset"]
+    results, level = [placed.where("done").select(columns)], 1
     groups = int(placed.agg(F.max("home")).first()[0] or 0) + 1
-    while True:
-        groups, last = -(-groups // FAN_IN), groups <= FAN_IN
-        # the next tree node of each task's open bins; ids may be null, so they travel as text
+    while groups > 1:
+        # as few nodes as the tree has on this level, but more if a node's items would not fit a task
+        nodes = max(-(-groups // FAN_IN), -(-placed.where("not done").count() // max_pieces))
+        if nodes >= groups:
+            break
+        # ids may be null, so they travel as text
         still = (
             placed.where("not done")
-            .withColumn("home", F.floor(F.col("home") / FAN_IN).cast("int"))
+            .withColumn("home", F.expr(f"cast(home * {nodes}L div {groups} as int)"))
             .withColumn("doc_id", F.col("doc_id").cast("string"))
-            .repartition(groups, "home")
+            .repartitionByRange(nodes, "home")
         )
         schema = _PLACED.replace("doc_id long", "doc_id string")
-        placed = staged(
-            still.mapInPandas(repack(last, level), schema).withColumn("doc_id", F.col("doc_id").cast("long")), "packing"
-        )
-        results.append(placed.where("done"))
-        level += 1
-        if last:
-            break
+        packed = still.mapInPandas(_repack(capacity, nearly_full, level), schema)
+        placed = staged(packed.withColumn("doc_id", F.col("doc_id").cast("long")), "packing")
+        results.append(placed.where("done").select(columns))
+        groups, level = nodes, level + 1
+    results.append(_pack_counts(placed.where("not done"), capacity).select(columns))
     union = results[0]
     for r in results[1:]:
         union = union.unionByName(r)
