@@ -359,6 +359,46 @@ def test_html_wrappers_named_like_furniture(name):
     assert html_text.main_text(page) == f"Part {text} {text} Caption {text}"
 
 
+def test_html_density_decides_not_the_tag():
+    import pyarrow.parquet as pq
+
+    for row in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist():
+        page = row["html"]
+        renamed = page.replace("<article>", "<div id=content>").replace("</article>", "</div>")
+        assert html_text.main_text(renamed) == html_text.main_text(page), row["page_id"]
+
+
+def test_html_comments_notices_and_links():
+    text = LONG.strip()
+    comments = "".join(f"<p>{LONG} reader {i}</p>" for i in range(9))
+    assert html_text.main_text(f"<body><div id=content><h1>T</h1><p>{LONG}</p></div><div id=comments>{comments}</div>") == f"T {text}"
+    inside = f"<h1>T</h1><div class='cookie-notice'>cookies</div><p>{LONG}</p><div class='user-comments'><p>{LONG}{LONG}</p></div>"
+    links = f"<p><a href=x>{text}</a> and <a href=y>{text}</a></p>"
+    assert html_text.main_text(f"<body><article>{inside}{links}</article>") == f"T {text} {text} and {text}"
+    assert html_text.main_text(f"<body><div class=comments>{comments}</div>").startswith(text)  # nothing else is there
+    sections = "".join(f"<section><h2>S{i}</h2><p>{LONG}</p></section>" for i in range(4))
+    assert html_text.main_text(f"<body><div id=a>{sections}</div>") == " ".join(f"S{i} {text}" for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "</span>" * 100_000,
+        "<b>" * 100_000 + "<div>x</div>" * 100_000,
+        "<li><ul>" + "<div>" * 100_000 + "<li>x</li>" * 100_000,
+        "<" * 1_000_000,
+        "<div class=comment>" * 50_000 + "x",
+        f"<div><p>{LONG}</p></div>" * 50_000,
+    ],
+)
+def test_html_of_megabytes_is_read_in_proportion(page):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 20  # a quadratic reader takes hours
+
+
 def test_html_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string, text int, n_chars string")
     assert html_text.extract(df).count() == 0
