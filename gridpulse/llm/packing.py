@@ -26,6 +26,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -174,7 +175,8 @@ class Ids:
         """Encode new pre-tokens many at a time; every pre-token ends with one word-end token."""
         for lo in range(0, len(words), 5000):
             part = words[lo : lo + 5000]
-            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, dtype="<u4")
+            (encoded,) = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of words")
@@ -202,8 +204,7 @@ class Ids:
             self.chunks, self.words = {}, {}
         cut = [chunks(t) for t in texts]
         known = self.chunks
-        met = {c for cs in cut for c in cs}
-        new = list(met.difference(known))
+        new = list(set().union(*cut).difference(known))
         self._long.update(c for c in new if len(c) > LONG_CHUNK)
         special = [c for c in new if "<|" in c]  # may hold a special string
         for c in special:
@@ -217,7 +218,7 @@ class Ids:
                 self._long.update(w for ws in parts for w in ws if len(w) > LONG_CHUNK)
             for c, ws in zip(new, parts):
                 known[c] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
-        coded = [b"".join(map(known.__getitem__, cs)) for cs in cut]
+        coded = [b"".join(itemgetter(*cs)(known)) if len(cs) > 1 else known[cs[0]] if cs else b"" for cs in cut]
         for kept in (known, self.words):  # long ones are not remembered
             for c in [c for c in self._long if c in kept]:
                 del kept[c]
