@@ -33,7 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     configured = sc.getConf().get(CHECKPOINT_CONF)
-    if not (configured or fallback) and not sc.master.startswith("local"):
+    one_process = sc.master.startswith("local") and not sc.master.startswith("local-cluster")
+    if not (configured or fallback) and not one_process:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; name a shared folder for the cluster")
     target = configured or fallback or tempfile.mkdtemp(prefix="gridpulse-ckpt-")
     sc.setCheckpointDir(target)
