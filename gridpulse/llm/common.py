@@ -20,14 +20,35 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders that this driver has staged and not removed, in order.
+_STAGED: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back, so
-    that later steps and lost executors start from the files."""
+    that later steps and lost executors start from the files.  The folder stays
+    until :func:`remove_staged`."""
     path = shared_folder(df.sparkSession, name)
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_folders() -> list[str]:
+    return list(_STAGED)
+
+
+def remove_staged(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete staged folders (all of this driver's, or ``paths``), once the results that
+    read them have been written or collected; returns their number."""
+    gone = [p for p in _STAGED if paths is None or p in paths]
+    for p in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(p)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _STAGED.remove(p)
+    return len(gone)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -77,6 +77,16 @@ def test_exact_stage_keeps_one_row_of_repeated_rows_and_null_ids(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "d"), (2, "A"), (3, "c"), (4, "b"), (5, "")]
 
 
+def test_run_removes_what_its_stages_staged(spark):
+    from gridpulse.llm.common import remove_staged, staged_folders
+
+    remove_staged(spark)
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").select("doc_id").collect()}
+    left = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in staged_folders()]
+    assert ids and left.count("pipeline-pii") == 1 and set(left) <= {"pipeline-pii", "packing", "open-bins"}
+    assert remove_staged(spark) == len(left) and not staged_folders()
+
+
 def test_stages_on_an_empty_table(spark):
     docs = table(spark, SF, "documents").limit(0)
     for name, stage in corpus_pipeline.STAGES:
