@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.llm import exact_dedup, jaccard_join, packing, pii, toxicity
-from gridpulse.llm.common import staged, table
+from gridpulse.llm.common import remove_staged, staged, staged_folders, table
 from gridpulse.llm.queries import WORD_BPE
 
 
@@ -75,8 +75,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each over the Parquet files of the one before."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``, each over the Parquet files of the one before.
+
+    What a stage has staged is removed as soon as its result is written; what the
+    last one's result still reads stays (``llm.common.remove_staged``)."""
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
+        before = staged_folders()
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made = [p for p in staged_folders() if p not in before]
+        remove_staged(spark, last + made[:-1])
+        last = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
