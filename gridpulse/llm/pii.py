@@ -2,7 +2,8 @@
 
 Base spans follow fixed rules (pattern and check per kind).  On top, high-recall
 generators propose further, overlapping candidates: spelled-out e-mail addresses,
-spelled-out hosts and any grouping of digits; a candidate must pass the check of its kind.  Each candidate gets format features (digits,
+spelled-out hosts, any grouping of digits, and four groups of four digits within a
+longer run of digits; a candidate must pass the check of its kind.  Each candidate gets format features (digits,
 separators, checks) and context features (the word before it), and a gradient
 boosted ensemble of depth-2 trees scores it.  Candidates over the calibrated
 threshold that overlap no base span are added; base spans always stay.
@@ -60,12 +61,17 @@ BASE = {
 # A character that every match of the kind holds.
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
-#: Generators of further candidates: what they look for, and the kind they report.
+#: Generators of further candidates: what they look for, by the kind they report.
 GENERATORS = {
-    "email": rf"(?:\G|(?<![{_MAIL}]))[{_MAIL}]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\(dot\)|\[dot\]|\[\.\]) ?[0-9]{1,3}){3}+(?![0-9.])",
-    "card": r"(?<![0-9])[0-9](?:[ -]{0,3}[0-9]){15,18}+(?![0-9])",
-    "phone": r"(?:\+|\()?(?<![0-9])[0-9](?:[ ().-]{0,2}[0-9]){6,18}+(?![0-9])",
+    "email": (
+        rf"(?:\G|(?<![{_MAIL}]))[{_MAIL}]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)++",
+    ),
+    "ip": (r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\(dot\)|\[dot\]|\[\.\]) ?[0-9]{1,3}){3}+(?![0-9.])",),
+    "card": (
+        r"(?<![0-9])[0-9](?:[ -]{0,3}[0-9]){15,18}+(?![0-9])",
+        r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}+(?![0-9])",
+    ),
+    "phone": (r"(?:\+|\()?(?<![0-9])[0-9](?:[ ().-]{0,2}[0-9]){6,18}+(?![0-9])",),
 }
 _CONTEXT = 16
 # Words that announce a kind.
@@ -139,11 +145,12 @@ def _plain(text: Column, kind: str) -> Column:
 
 
 def generated(text: Column, kind: str) -> Column:
-    """Candidates of one generator, with the context before each."""
+    """Candidates of one kind's generators, with the context before each."""
     needs = {"email": r"@|\(at\)|\[at\]", "ip": r"[0-9] ?(?:\.|\(dot\)|\[dot\]|\[\.\]) ?[0-9]"}
     needed = text.rlike(needs.get(kind, "[0-9][0-9 ().-]{5}"))
+    met = [matches(text, pattern) for pattern in GENERATORS[kind]]
     found = F.transform(
-        F.filter(matches(text, GENERATORS[kind]), lambda s: valid(kind, _plain(s["text"], kind))),
+        F.filter(F.array_union(*met) if len(met) > 1 else met[0], lambda s: valid(kind, _plain(s["text"], kind))),
         lambda s: s.withField(
             "before", F.substring(text, F.greatest(s["start"] - _CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(_CONTEXT)))
         ),
@@ -274,7 +281,7 @@ def _rewritten(text: Column, kind: str) -> list[Column]:
     if kind == "ip":
         return [F.replace(text, F.lit("."), F.lit(dot)) for dot in ("[.]", " (dot) ", " . ")]
     if kind == "card":
-        return [F.regexp_replace(_digits(text), "([0-9]{4})(?=[0-9])", f"$1{gap}") for gap in ("  ", " - ")]
+        return [F.regexp_replace(_digits(text), "([0-9]{4})(?=[0-9])", f"$1{gap}") for gap in ("  ", " - ", " ")]
     bare = F.substr(text, F.lit(2))
     return [bare, F.regexp_replace(bare, "[ ().-]+", " "), F.regexp_replace(bare, "[ ().-]+", "-")]
 

@@ -458,6 +458,53 @@ def test_pii_finds_forms_that_the_base_patterns_miss(spark):
         assert out[i].startswith("write to me at [EMAIL] or call [PHONE] when you can; order 1"), out[i]
 
 
+def card_number(rng):
+    digits = [rng.randrange(10) for _ in range(15)]
+    total = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits))
+    return "".join(map(str, [*digits, -total % 10]))
+
+
+def test_pii_precision_and_recall_on_forms_that_training_does_not_make(spark):
+    rng, rows, planted = random.Random(12), [], {}
+    for i in range(400):
+        card = card_number(rng)
+        ip = ".".join(str(rng.randrange(1, 255)) for _ in range(4))
+        phone = f"+{rng.randrange(20, 90)} {rng.randrange(300, 999)} {rng.randrange(1000, 9999)}"
+        text = f"mail user{i}@mail{i}.example.com or host {ip}, card {card[:4]} {card[4:8]} {card[8:12]} {card[12:]}, call {phone} today"
+        text += f"; order {rng.randrange(10**9, 10**11)} of 2021-0{rng.randrange(1, 9)}-1{i % 10}, version 3.{i % 7}.1, price {rng.randrange(999)}.50, lot {rng.randrange(10**5)}"
+        if i % 4 == 0:
+            a, b = card_number(rng), card_number(rng)
+            four = [n[k : k + 4] for n in (a, b) for k in (0, 4, 8, 12)]
+            forms = {
+                "email": f"user{i}[at]mail{i}.example.org",
+                "ip": "[.]".join(ip.split(".")[:2]) + "." + "[.]".join(ip.split(".")[2:]),
+                "card": "- ".join(four[:4]),
+                "phone": f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}",
+            }
+            for kind, form in forms.items():
+                word = {"email": "mail", "ip": "host", "card": "card", "phone": "call"}[kind]
+                text += f" and {word} "
+                planted[i, kind, len(text), len(text) + len(form)] = kind
+                text += form
+            text += " and cards "
+            for half in (four[:4], four[4:]):  # two numbers, one space between: too long for the base pattern
+                form = " ".join(half)
+                planted[i, "card", len(text), len(text) + len(form)] = "pair"
+                text += form + " "
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(df)
+    assert all(bar is not None for bar in model.thresholds.values())
+    added = set()
+    for r in pii.spans(df, model).collect():
+        base = {(k, s.start, s.stop) for k in pii.KINDS for s in r.pii_base[k]}
+        added |= {(r.doc_id, pii.KINDS[s.kind], s.start, s.stop) for s in r.pii_spans} - {(r.doc_id, *b) for b in base}
+    found = added & set(planted)
+    recall = {k: sum(planted[f] == k for f in found) / sum(v == k for v in planted.values()) for k in (*pii.KINDS, "pair")}
+    # measured: 1.0 for all but spaced hosts of mixed form, 0.7; precision 1.0
+    assert recall.pop("ip") >= 0.6 and min(recall.values()) >= 0.9 and len(found) >= 0.95 * len(added)
+
+
 def test_boosting_and_calibration():
     blank = {f: 0 for f in pii.FEATURES}
     rows = [blank | {"digits": d, "hint": p} for d in range(4, 20) for p in (0, 1)] * 4
