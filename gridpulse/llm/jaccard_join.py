@@ -63,7 +63,7 @@ PIVOTS = 8
 STUCK = 0.9
 #: One in so many shingles more than needed is looked at to find lone points.
 SPARE = 10
-MAX_WORD_HASHES = 1_000_000
+MAX_WORD_HASHES = 250_000
 #: Shingle rows in one Arrow batch, about.
 BATCH_ROWS = 500_000
 
@@ -157,7 +157,7 @@ def _shingle_rows(words: int, percent: int):
                 key = digest_of(s)
                 if key is not None and key not in seen:
                     seen.add(key)
-                    held.append((s[: prefix(len(s), percent)[0]], _point(key)))
+                    held.append((s[: prefix(len(s), percent)[0]].copy(), _point(key)))  # not a view of the whole set
                     rows += len(held[-1][0])
                     if rows > BATCH_ROWS:
                         yield _flat(held, ["h", "point"])
