@@ -23,6 +23,7 @@ import base64
 import hashlib
 import itertools
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,9 @@ from pyspark.sql import functions as F
 
 #: Distinct words a task remembers before it starts a new dictionary.
 MAX_WORDS = 1_000_000
+#: Texts, and characters of them, that travel as one row.
+CHUNK_TEXTS = 500
+CHUNK_CHARS = 4 << 20
 #: Buckets of the literal rank table (a power of two), and the factor that spreads pairs over them.
 BUCKETS = 1 << 15
 _SPREAD = 40503
@@ -136,6 +140,18 @@ def encode_word(octets: Column, buckets: int = BUCKETS) -> Column:
 _CHUNK = "reset boolean, doc_id array<long>, size array<int>, word array<int>, octets array<array<int>>"
 
 
+def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``CHUNK_TEXTS`` texts that hold about ``CHUNK_CHARS`` characters."""
+    low = held = 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= CHUNK_CHARS or i + 1 - low == CHUNK_TEXTS:
+            yield low, i + 1
+            low, held = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
+
+
 def _numbered(pattern: str, max_words: int):
     """Texts -> rows of word numbers, each with the bytes of the words new to the task."""
 
@@ -143,23 +159,20 @@ def _numbered(pattern: str, max_words: int):
         find, numbers, reset = regex.compile(pattern).findall, {}, True
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), 500):
+            for low, high in _parts(texts):
                 if len(numbers) > max_words:
                     numbers, reset = {}, True
-                cut = [find(t) for t in texts[lo : lo + 500]]
-                known = len(numbers)
-                for words in cut:
-                    for w in words:
-                        if w not in numbers:
-                            numbers[w] = len(numbers)
-                new = [w.encode() for w in itertools.islice(numbers, known, None)]
+                cut = [find(t) for t in texts[low:high]]
+                fresh = list(set().union(*cut).difference(numbers))
+                numbers.update(zip(fresh, itertools.count(len(numbers))))
+                new = [w.encode() for w in fresh]
                 octets = np.frombuffer(b"".join(new), dtype=np.uint8).astype(np.int32)
                 ends = np.cumsum([0, *map(len, new)], dtype=np.int32)
-                order = np.fromiter((numbers[w] for words in cut for w in words), dtype=np.int32)
+                order = np.fromiter(map(numbers.__getitem__, itertools.chain.from_iterable(cut)), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([reset]),
-                        _one_list(ids.slice(lo, len(cut))),
+                        _one_list(ids.slice(low, len(cut))),
                         _one_list(pa.array(map(len, cut), pa.int32())),
                         _one_list(pa.array(order)),
                         _one_list(pa.ListArray.from_arrays(pa.array(ends), pa.array(octets))),
@@ -200,10 +213,11 @@ def _assembled(pieces: list[bytes]):
                 for n in sizes:
                     mine = words[at : at + n]
                     at += n
-                    ids = b"".join(map(coded.__getitem__, mine))
+                    pick = itemgetter(*mine) if n > 1 else lambda items, mine=mine: [items[i] for i in mine]
+                    ids = b"".join(pick(coded))
                     counts.append(len(ids) // 4)
                     id_digests.append(hashlib.sha256(ids).hexdigest())
-                    text_digests.append(hashlib.sha256(b"".join(map(decoded.__getitem__, mine))).hexdigest())
+                    text_digests.append(hashlib.sha256(b"".join(pick(decoded))).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids, pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
