@@ -200,11 +200,13 @@ class Ids:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """White space only separates tokens in this vocabulary, so chunks encode on their own."""
-        if len(self.chunks) > self.max_chunks:
-            self.chunks, self.words = {}, {}
         cut = [chunks(t) for t in texts]
         known = self.chunks
-        new = list(set().union(*cut).difference(known))
+        met = set().union(*cut)
+        if len(known) > self.max_chunks:  # keep what these texts hold, so mostly frequent chunks
+            known = self.chunks = {c: known[c] for c in met.intersection(known)}
+            self.words = {}
+        new = list(met.difference(known))
         self._long.update(c for c in new if len(c) > LONG_CHUNK)
         special = [c for c in new if "<|" in c]  # may hold a special string
         for c in special:
@@ -226,15 +228,16 @@ class Ids:
         return coded
 
 
-_LOADED: dict[str, Ids] = {}
+_LOADED: dict[tuple[str, int], Ids] = {}
 
 
-def _ids(vocabulary: str) -> Ids:
+def _ids(vocabulary: str, max_chunks: int) -> Ids:
     """The tokenizer of a worker, with the chunks that its tasks have met (a bounded number)."""
-    if vocabulary not in _LOADED:
+    key = (vocabulary, max_chunks)
+    if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[vocabulary] = Ids(vocabulary)
-    return _LOADED[vocabulary]
+        _LOADED[key] = Ids(vocabulary, max_chunks)
+    return _LOADED[key]
 
 
 def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:
@@ -248,9 +251,9 @@ def _pieces(doc_ids: list, coded: list[bytes], capacity: int) -> list[tuple]:
     return rows
 
 
-def _read_and_pack(vocabulary: str, capacity: int, nearly_full: int):
+def _read_and_pack(vocabulary: str, capacity: int, nearly_full: int, max_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, home = _ids(vocabulary), TaskContext.get().partitionId()
+        ids, home = _ids(vocabulary, max_chunks), TaskContext.get().partitionId()
         held, made = [], home << 32
 
         def placed() -> pa.RecordBatch:
@@ -268,9 +271,9 @@ def _read_and_pack(vocabulary: str, capacity: int, nearly_full: int):
             return pa.RecordBatch.from_arrays(arrays, names=names + ["bin", "offset", "done", "home"])
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 500):
-                held += _pieces(doc_ids[lo : lo + 500], ids.encode([t or "" for t in texts[lo : lo + 500]]), capacity)
+            for lo in range(0, len(batch), 500):
+                doc_ids, texts = (batch.column(i).slice(lo, 500).to_pylist() for i in (0, 1))
+                held += _pieces(doc_ids, ids.encode([t or "" for t in texts]), capacity)
                 if len(held) >= MAX_PIECES:
                     yield placed()
                     held = []
@@ -322,10 +325,12 @@ def pack(
     capacity: int = CAPACITY,
     nearly_full: int = NEARLY_FULL,
     max_pieces: int = MAX_PIECES,
+    max_chunks: int = MAX_CHUNKS,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+    A worker remembers the ids of about ``max_chunks`` chunks: fewer cost time, not results."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = staged(rows.mapInArrow(_read_and_pack(vocabulary, capacity, nearly_full), _PLACED), "packing")
+    placed = staged(rows.mapInArrow(_read_and_pack(vocabulary, capacity, nearly_full, max_chunks), _PLACED), "packing")
     columns = [*[c.split()[0] for c in _PIECE.split(", ")], "bin", "offset"]
     results, level = [placed.where("done").select(columns)], 1
     groups = int(placed.agg(F.max("home")).first()[0] or 0) + 1
