@@ -58,8 +58,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all documents into sequences."""
-    return packing.pack(docs, public_tokenizers.path(WORD_BPE))
+    """Pack all documents into sequences; workers that served earlier stages remember fewer chunks."""
+    return packing.pack(docs, public_tokenizers.path(WORD_BPE), max_chunks=100_000)
 
 
 STAGES = [
