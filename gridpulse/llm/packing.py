@@ -50,8 +50,8 @@ FAN_IN = 8
 LOOSE = 1 / 16
 #: Pieces a task packs at a time.
 MAX_PIECES = 500_000
-#: Chunks a worker remembers, and the longest that it does.
-MAX_CHUNKS = 500_000
+#: Chunks a worker remembers (some 200 MB at the most), and the longest that it does.
+MAX_CHUNKS = 1_000_000
 LONG_CHUNK = 64
 #: Sequence numbers of the last round start here, those of a level at ``level << LEVEL_BITS``.
 LAST = 1 << 62
